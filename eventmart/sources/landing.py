@@ -6,11 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from eventmart.functions import blank_to_null
 from eventmart.sources.schemas import LANDED_LINES, RAW_LINES
 
 ROWS_PER_CSV_FILE = 1_000_000
 
+# Text comes back exactly as it was: blanks at its ends, quotes and line breaks.
+CSV_TEXT = {
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "escape": '"',
+    "multiLine": "true",
+}
+
 
 def write_csv_batch(lines: DataFrame, path: str) -> None:
     """Header-less gzip CSV in raw column order, NULL as an empty field."""
@@ -20,6 +27,7 @@ def write_csv_batch(lines: DataFrame, path: str) -> None:
         .option("compression", "gzip")
         .option("nullValue", "")
         .option("emptyValue", "")
+        .options(**CSV_TEXT)
         .option("maxRecordsPerFile", ROWS_PER_CSV_FILE)
         .csv(path)
     )
@@ -27,10 +35,10 @@ def write_csv_batch(lines: DataFrame, path: str) -> None:
 
 def read_csv_batch(spark: SparkSession, path: str) -> DataFrame:
     """A CSV batch back as raw lines; empty and blank text becomes NULL."""
-    batch = spark.read.schema(RAW_LINES).option("nullValue", "").csv(path)
+    batch = spark.read.schema(RAW_LINES).option("nullValue", "").options(**CSV_TEXT).csv(path)
     return batch.select(
         *[
-            blank_to_null(F.col(f.name)).alias(f.name)
+            F.when(F.trim(f.name) != "", F.col(f.name)).alias(f.name)
             if isinstance(f.dataType, StringType)
             else f.name
             for f in RAW_LINES
@@ -75,10 +83,15 @@ def full_refresh(batch: DataFrame, table: str) -> bool:
     return True
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    jvm_path = context._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(context._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a write to this path was committed."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm_path)
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
 def replace_dates(batch: DataFrame, table: str, staging: str) -> None:
@@ -96,6 +109,14 @@ def replace_dates(batch: DataFrame, table: str, staging: str) -> None:
     _write(staged, table, "overwrite", "dynamic")
 
 
+def drop_dates(spark: SparkSession, table: str, dates: DataFrame) -> None:
+    """Remove the partitions of the dates (one row per calendar date)."""
+    context = spark.sparkContext
+    for row in dates.select("sale_date").collect():
+        folder = context._jvm.org.apache.hadoop.fs.Path(f"{table}/sale_date={row.sale_date}")
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def replaced_view(target: DataFrame, batch: DataFrame) -> DataFrame:
     """What ``replace_dates`` leaves behind, without writing anything."""
     # One row per calendar date: small for any volume of sales.

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from eventmart.functions import category_id, iso_to_utc, known_zone_or_utc
-from eventmart.sources.schemas import CATALOG_PAGE, LOCATIONS, ORDER_PAGE
+from eventmart.sources.schemas import CATALOG_PAGE, LOCATIONS, ORDER_PAGE, TEXT, record
 
 # Fixed value: nothing can have been sold before this moment.
 FIRST_POSSIBLE_SALE = datetime(2009, 1, 1, tzinfo=timezone.utc)
@@ -60,29 +60,34 @@ def _utc_literal(moment: datetime) -> Column:
     return F.lit(plain.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def _read_pages(
-    spark: SparkSession, path: str, schema: StructType, layout: str
-) -> DataFrame:
-    """Pages of one dataset with the moment of their extraction.
+def stored(page: StructType) -> StructType:
+    """Page columns plus the two the archive's folders carry, read as text."""
+    return StructType([*page.fields, *record(extracted_date=TEXT, extracted_at=TEXT).fields])
 
-    ``lines`` is what our archive writes: one page per line, so a large extract
-    is many files read in parallel. ``array`` reads a file that holds one JSON
-    array of pages; such a file cannot be split and takes one task.
-    """
-    if layout not in ("lines", "array"):
-        raise ValueError(f"unknown layout {layout!r}")
-    # Both partition columns are read as text: 20260828T143005Z is no Spark literal.
-    columns = StructType(schema.fields).add("extracted_date", "string").add("extracted_at", "string")
-    pages = spark.read.schema(columns).json(path, multiLine=layout == "array")
-    return pages.select(
+
+def tidy_pages(stored_pages: DataFrame, content: str) -> DataFrame:
+    """Stored pages with a number for every page and the moment of extraction."""
+    return stored_pages.select(
         # Position in the file orders pages that carry no number of their own.
         F.coalesce("page_no", F.monotonically_increasing_id()).alias("page_no"),
-        pages.columns[2],
+        content,
         F.to_date("extracted_date").alias("extracted_date"),
         F.to_timestamp_ntz("extracted_at", F.lit("yyyyMMdd'T'HHmmss'Z'")).alias("extracted_at"),
     )
 
 
+def _read_pages(spark: SparkSession, path: str, page: StructType, layout: str) -> DataFrame:
+    """
+    ``lines`` is what our archive writes: one page per line, so a large extract
+    is many files read in parallel. ``array`` reads files that hold one JSON
+    array of pages; such a file cannot be split and takes one task.
+    """
+    if layout not in ("lines", "array"):
+        raise ValueError(f"unknown layout {layout!r}")
+    pages = spark.read.schema(stored(page)).json(path, multiLine=layout == "array")
+    return tidy_pages(pages, page.names[-1])
+
+
 def read_order_pages(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
     return _read_pages(spark, path, ORDER_PAGE, layout)
 
@@ -152,6 +157,14 @@ def completed_orders(
     return kept.orderBy(closed_at)
 
 
+def closed_in_last_hours(orders: DataFrame, closed_at: str, hours: int = 24) -> DataFrame:
+    """The window of a scheduled run that starts at the newest moment in the data."""
+    end = orders.agg(F.max(closed_at)).scalar()
+    zero = F.lit(0)
+    start = end - F.make_dt_interval(zero, F.lit(hours), zero, F.lit(0.0))
+    return orders.filter((F.col(closed_at) >= start) & (F.col(closed_at) < end))
+
+
 def read_locations(
     spark: SparkSession, path: str, only: str | None = None
 ) -> DataFrame:
@@ -203,8 +216,8 @@ def catalog_lookup(objects: DataFrame) -> DataFrame:
 
 
 def catalog_stats(objects: DataFrame) -> DataFrame:
-    """Objects per type after keeping the newest version, and pages per extract."""
-    return objects.groupBy("type").agg(
-        F.countDistinct("id").alias("objects"),
-        F.countDistinct("extracted_at", "page_no").alias("pages"),
+    """Documents seen and distinct objects of every type."""
+    versions = objects.groupBy("type", "id").agg(F.count("*").alias("_n"))
+    return versions.groupBy("type").agg(
+        F.sum("_n").alias("documents"), F.count("*").alias("objects")
     )

@@ -2,52 +2,103 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DateType,
+    DecimalType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+TEXT, WHOLE, MONEY = StringType(), LongType(), DecimalType(12, 2)
 
 
-def _ddl(text: str) -> StructType:
-    return StructType.fromDDL(text)
+def record(**fields: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in fields.items()])
 
 
-_MONEY = "struct<amount:bigint,currency:string>"
+_AMOUNT = record(amount=WHOLE, currency=TEXT)
+_REFERENCE = record(id=TEXT)
 
-ORDER_FIELDS = (
-    "id:string,location_id:string,state:string,closed_at:string,created_at:string,"
-    "source:struct<name:string>,"
-    "line_items:array<struct<uid:string,name:string,quantity:string,"
-    "quantity_unit:struct<measurement_unit:struct<type:string>>,"
-    "catalog_object_id:string,variation_name:string,item_type:string,"
-    f"gross_sales_money:{_MONEY},total_discount_money:{_MONEY},total_tax_money:{_MONEY}>>"
+ORDER = record(
+    id=TEXT,
+    location_id=TEXT,
+    state=TEXT,
+    closed_at=TEXT,
+    created_at=TEXT,
+    source=record(name=TEXT),
+    line_items=ArrayType(
+        record(
+            uid=TEXT,
+            name=TEXT,
+            quantity=TEXT,
+            quantity_unit=record(measurement_unit=record(type=TEXT)),
+            catalog_object_id=TEXT,
+            variation_name=TEXT,
+            item_type=TEXT,
+            gross_sales_money=_AMOUNT,
+            total_discount_money=_AMOUNT,
+            total_tax_money=_AMOUNT,
+        )
+    ),
 )
 
-CATALOG_FIELDS = (
-    "type:string,id:string,category_data:struct<name:string>,"
-    "item_data:struct<name:string,category_id:string,"
-    "reporting_category:struct<id:string>,categories:array<struct<id:string>>>,"
-    "item_variation_data:struct<item_id:string,sku:string,name:string>"
+CATALOG_OBJECT = record(
+    type=TEXT,
+    id=TEXT,
+    category_data=record(name=TEXT),
+    item_data=record(
+        name=TEXT,
+        category_id=TEXT,
+        reporting_category=_REFERENCE,
+        categories=ArrayType(_REFERENCE),
+    ),
+    item_variation_data=record(item_id=TEXT, sku=TEXT, name=TEXT),
 )
 
-ORDER_PAGE = _ddl(f"page_no bigint, cursor string, orders array<struct<{ORDER_FIELDS}>>")
-CATALOG_PAGE = _ddl(f"page_no bigint, cursor string, objects array<struct<{CATALOG_FIELDS}>>")
-LOCATIONS = _ddl("id string, name string, timezone string")
+ORDER_PAGE = record(page_no=WHOLE, cursor=TEXT, orders=ArrayType(ORDER))
+CATALOG_PAGE = record(page_no=WHOLE, cursor=TEXT, objects=ArrayType(CATALOG_OBJECT))
+LOCATIONS = record(id=TEXT, name=TEXT, timezone=TEXT)
 
 # The raw table's columns in their landing order.
-RAW_LINES = _ddl(
-    "sale_date date, sale_time string, time_zone string, category string, item string, "
-    "qty decimal(12,2), price_point_name string, sku string, gross_sales decimal(12,2), "
-    "discounts decimal(12,2), net_sales decimal(12,2), tax decimal(12,2), "
-    "transaction_id string, location string, unit string, count decimal(12,2), "
-    "itemization_type string, channel string, device_name_key string, "
-    "convention_day string, source_file string"
+RAW_LINES = record(
+    sale_date=DateType(),
+    sale_time=TEXT,
+    time_zone=TEXT,
+    category=TEXT,
+    item=TEXT,
+    qty=MONEY,
+    price_point_name=TEXT,
+    sku=TEXT,
+    gross_sales=MONEY,
+    discounts=MONEY,
+    net_sales=MONEY,
+    tax=MONEY,
+    transaction_id=TEXT,
+    location=TEXT,
+    unit=TEXT,
+    count=MONEY,
+    itemization_type=TEXT,
+    channel=TEXT,
+    device_name_key=TEXT,
+    convention_day=TEXT,
+    source_file=TEXT,
 )
 
-# What the loader adds: position of the line in its order, and the extract it came from.
-INGEST = _ddl("line_no int, extracted_at timestamp_ntz")
-
-LANDED_LINES = StructType(RAW_LINES.fields + INGEST.fields)
+# With what the loader adds: the line's place in its order, and the extract it came from.
+LANDED_LINES = StructType(
+    [*RAW_LINES.fields, *record(line_no=IntegerType(), extracted_at=TimestampNTZType()).fields]
+)
 
 # Header columns of a till's item export.
-POS_EXPORT = _ddl(
-    "`Item` string, `SKU` string, `Qty` string, `Gross Sales` string, "
-    "`Category` string, `Transaction ID` string"
+POS_EXPORT = StructType(
+    [
+        StructField(name, TEXT)
+        for name in ("Item", "SKU", "Qty", "Gross Sales", "Category", "Transaction ID")
+    ]
 )

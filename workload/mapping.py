@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmart.functions import pseudonym
-from eventmart.sources.schemas import CATALOG_FIELDS, LANDED_LINES, ORDER_FIELDS
+from eventmart.sources.schemas import CATALOG_OBJECT, LANDED_LINES, ORDER
 
 ZONES = ["America/Los_Angeles", "America/New_York", "Not/ARealZone"]
 LOCATIONS = 25
@@ -25,11 +25,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _sale_date() -> Column:
-    quarter = F.trunc("o_orderdate", "quarter")
+def _quarter() -> Column:
+    return F.trunc("o_orderdate", "quarter")
+
+
+def _open_day() -> Column:
     days_open = 3 + F.quarter("o_orderdate") % 3
-    open_day = F.date_add(quarter, F.dayofmonth("o_orderdate") % days_open)
-    return F.when(_is_test(), F.date_add(quarter, 40)).otherwise(open_day)
+    return F.date_add(_quarter(), F.dayofmonth("o_orderdate") % days_open)
+
+
+def _sale_date() -> Column:
+    return F.when(_is_test(), F.date_add(_quarter(), 40)).otherwise(_open_day())
 
 
 def _is_test() -> Column:
@@ -125,10 +131,11 @@ def iso(moment: Column) -> Column:
 
 
 def sold_at() -> Column:
-    """Order date plus a whole number of minutes taken from the key: always within a day."""
+    """A minute of the order's opening day, in UTC."""
     minutes = (F.col("o_orderkey") * 37 % 1440).cast("int")
     zero = F.lit(0)
-    return F.col("o_orderdate") + F.make_dt_interval(zero, zero, minutes, F.lit(0.0))
+    midnight = _open_day().cast("timestamp_ntz")
+    return midnight + F.make_dt_interval(zero, zero, minutes, F.lit(0.0))
 
 
 def _amount(cents: Column) -> Column:
@@ -184,7 +191,7 @@ def order_document(state: Column, closed: Column, lines: Column | None = None) -
         F.struct(F.col("o_orderpriority").alias("name")).alias("source"),
         (line_documents() if lines is None else lines).alias("line_items"),
     )
-    return document.cast(f"struct<{ORDER_FIELDS}>")
+    return document.cast(ORDER)
 
 
 def order_state() -> Column:
@@ -258,7 +265,7 @@ def catalog_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             key.alias("id"),
             *[data.get(f, nothing).alias(f) for f in fields],
         )
-        return built.cast(f"struct<{CATALOG_FIELDS}>")
+        return built.cast(CATALOG_OBJECT)
 
     objects = F.array(
         thing("CATEGORY", category, category_data=F.struct(F.col("p_type").alias("name"))),
