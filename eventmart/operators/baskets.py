@@ -38,6 +38,10 @@ def pair_up(
     by hash, and cell (x, y) with x <= y joins block x with block y. Each pair
     meets in exactly one cell, and a cell is one small join key.
     """
+    # Stated once at the bottom: joins would add these filters branch by branch, and
+    # branches that differ cannot share the shuffle that made the items distinct.
+    items = items.filter(F.col(basket).isNotNull() & F.col(item).isNotNull())
+
     blocks = F.ceil(F.col("_items") / F.lit(block_items)).cast("int")
     large = (
         items.groupBy(basket)
@@ -46,10 +50,11 @@ def pair_up(
         .select(basket, blocks.alias("_blocks"))
     )
 
+    # Leaving the large baskets out of one side is enough: the other finds no partner.
     ordinary = items.join(large, basket, "left_anti")
     pairs = (
         _side(ordinary, [basket], item, carry, "a")
-        .join(_side(ordinary, [basket], item, carry, "b"), basket)
+        .join(_side(items, [basket], item, carry, "b"), basket)
         .filter(F.col("a_item") < F.col("b_item"))
     )
 

@@ -91,22 +91,58 @@ def _tally(violations: DataFrame, name: str) -> DataFrame:
     )
 
 
-def _verdict(table: DataFrame, broken: Column, name: str) -> DataFrame:
-    """One violation if the single row of ``table`` is broken."""
-    return table.select(
-        F.lit(name).alias("check_name"),
-        F.when(broken, 1).otherwise(0).cast("bigint").alias("violations"),
+Rules = dict[str, Column]
+
+
+def _profile(table: DataFrame, rules: Rules, verdicts: Rules | None = None) -> DataFrame:
+    """Rows that meet each rule, and verdicts on the table as a whole, from one pass.
+
+    A verdict is a condition over ``rows`` and ``revenue`` of the table; it counts
+    as one violation.
+    """
+    verdicts = verdicts or {}
+    totals = (
+        [F.count("*").alias("rows"), F.sum("net_sales").alias("revenue")] if verdicts else []
     )
+    row = table.agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()], *totals)
+    judged = row.select(
+        *rules,
+        *[F.when(bad, 1).otherwise(0).cast("bigint").alias(name) for name, bad in verdicts.items()],
+    )
+    return judged.unpivot([], [*rules, *verdicts], "check_name", "violations")
+
+
+def _null_rules(name: str, columns: list[str]) -> Rules:
+    return {f"not_null_{name}_{c}": F.col(c).isNull() for c in columns}
+
+
+def _hour_rule() -> Rules:
+    # An accepted value ignores NULL, which has a check of its own.
+    return {"accepted_values_fact_sales_line_hour_of_day": ~F.col("hour_of_day").isin(HOURS)}
+
 
+def _quantity_rule() -> Rules:
+    return {"quantity_non_negative": F.col("quantity") < 0}
 
-def _count_where(table: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Rows that meet each of the rules, all from one pass."""
-    counts = table.agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()])
-    return counts.unpivot([], list(rules), "check_name", "violations")
+
+def _order_rule() -> Rules:
+    return {"item_pairs_are_unordered": F.col("item_a_key") >= F.col("item_b_key")}
 
 
 def not_null(table: DataFrame, name: str, columns: list[str]) -> DataFrame:
-    return _count_where(table, {f"not_null_{name}_{c}": F.col(c).isNull() for c in columns})
+    return _profile(table, _null_rules(name, columns))
+
+
+def accepted_hours(lines: DataFrame) -> DataFrame:
+    return _profile(lines, _hour_rule())
+
+
+def quantities_are_not_negative(lines: DataFrame) -> DataFrame:
+    return _profile(lines, _quantity_rule())
+
+
+def pairs_are_unordered(pairs: DataFrame) -> DataFrame:
+    return _profile(pairs, _order_rule())
 
 
 def unique(table: DataFrame, name: str, column: str) -> DataFrame:
@@ -137,74 +173,65 @@ def references(
     )
 
 
-def accepted_hours(lines: DataFrame) -> DataFrame:
-    """Hours outside the day; an accepted value ignores NULL, which not_null finds."""
-    return _count_where(
-        lines,
-        {"accepted_values_fact_sales_line_hour_of_day": ~F.col("hour_of_day").isin(HOURS)},
-    )
-
-
-def _totals(table: DataFrame) -> DataFrame:
+def _summary(table: DataFrame) -> Column:
+    """Row count and revenue of another table, as a value to compare with."""
     return table.agg(
         F.struct(F.count("*").alias("rows"), F.sum("net_sales").alias("revenue")).alias("t")
-    )
+    ).scalar()
 
 
-def _compare(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Row count and revenue of two tables side by side, without a join."""
-    return _totals(left).select(
-        F.col("t").alias("left"), _totals(right).scalar().alias("right")
-    ).select("left.*", F.col("right.rows").alias("other_rows"), F.col("right.revenue").alias("other_revenue"))
+def _gap(other: Column) -> Column:
+    zero = F.lit(0)
+    return F.abs(F.coalesce("revenue", zero) - F.coalesce(other["revenue"], zero)) > CENT
 
 
-def _revenue_gap() -> Column:
-    zero = F.lit(0)
-    return F.abs(F.coalesce("revenue", zero) - F.coalesce("other_revenue", zero)) > CENT
+def _raw_verdict(sales: Column) -> Rules:
+    return {"staging_preserves_raw_revenue": (F.col("rows") != sales["rows"]) | _gap(sales)}
+
+
+def _revenue_verdict(sales: Column) -> Rules:
+    return {"fact_revenue_reconciles": _gap(sales)}
+
+
+def _rows_verdict(sales: Column) -> Rules:
+    return {"fact_rowcount_matches_staging": F.col("rows") != sales["rows"]}
+
+
+def _size(table: DataFrame) -> Column:
+    return table.agg(F.count("*").alias("n")).scalar()
+
+
+def _grid_verdict(items: DataFrame, dates: DataFrame) -> Rules:
+    expected = _size(items) * _size(dates.filter("is_trading_day"))
+    return {"item_daily_grid_is_complete": F.col("rows") != expected}
+
+
+def _dense_verdict(lines: DataFrame, dates: DataFrame) -> Rules:
+    sparse = lines.join(trading_dates(dates, "date_key"), "date_key").agg(F.sum("net_sales"))
+    return {"item_daily_revenue_reconciles": F.col("revenue") != sparse.scalar()}
 
 
 def raw_matches_staging(raw: DataFrame, sales: DataFrame) -> DataFrame:
     """Nothing may vanish between landing and staging."""
-    return _verdict(
-        _compare(raw, sales),
-        (F.col("rows") != F.col("other_rows")) | _revenue_gap(),
-        "staging_preserves_raw_revenue",
-    )
+    return _profile(raw, {}, _raw_verdict(_summary(sales)))
 
 
 def fact_revenue_matches(sales: DataFrame, lines: DataFrame) -> DataFrame:
-    return _verdict(_compare(sales, lines), _revenue_gap(), "fact_revenue_reconciles")
+    return _profile(lines, {}, _revenue_verdict(_summary(sales)))
 
 
 def fact_rows_match(sales: DataFrame, lines: DataFrame) -> DataFrame:
     """A dropped line worth nothing shows up in the count alone."""
-    return _verdict(
-        _compare(sales, lines),
-        F.col("rows") != F.col("other_rows"),
-        "fact_rowcount_matches_staging",
-    )
-
-
-def _rows(table: DataFrame) -> DataFrame:
-    return table.agg(F.count("*").alias("n"))
+    return _profile(lines, {}, _rows_verdict(_summary(sales)))
 
 
 def grid_is_complete(items: DataFrame, dates: DataFrame, daily: DataFrame) -> DataFrame:
-    sizes = _rows(items).select(
-        F.col("n").alias("items"),
-        _rows(dates.filter("is_trading_day")).scalar().alias("days"),
-        _rows(daily).scalar().alias("rows"),
-    )
-    return _verdict(
-        sizes, F.col("items") * F.col("days") != F.col("rows"), "item_daily_grid_is_complete"
-    )
+    return _profile(daily, {}, _grid_verdict(items, dates))
 
 
 def dense_revenue_matches(daily: DataFrame, lines: DataFrame, dates: DataFrame) -> DataFrame:
     """Zeros add nothing: dense and sparse revenue agree to the cent."""
-    sparse = lines.join(trading_dates(dates, "date_key"), "date_key")
-    both = _compare(daily, sparse)
-    return _verdict(both, F.col("revenue") != F.col("other_revenue"), "item_daily_revenue_reconciles")
+    return _profile(daily, {}, _dense_verdict(lines, dates))
 
 
 def _differ(left: str, right: str) -> Column:
@@ -249,12 +276,6 @@ def pair_labels_match(pairs: DataFrame, items: DataFrame, dates: DataFrame) -> D
     return _tally(drifted, "item_pairs_labels_match_dimensions")
 
 
-def pairs_are_unordered(pairs: DataFrame) -> DataFrame:
-    return _count_where(
-        pairs, {"item_pairs_are_unordered": F.col("item_a_key") >= F.col("item_b_key")}
-    )
-
-
 def pair_labels_are_unique(pairs: DataFrame) -> DataFrame:
     repeated = (
         pairs.groupBy("event_key", "pair_label")
@@ -264,20 +285,43 @@ def pair_labels_are_unique(pairs: DataFrame) -> DataFrame:
     return _tally(repeated, "pair_labels_unique_within_event")
 
 
-def bridge_resolves(pairs: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Each pair has exactly two bridge rows and both are its own items."""
+def _pairs_with_members(pairs: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Bridge rows and members per pair key of either table, from one join."""
     members = bridge.select("item_pair_key", "item_key")
     is_member = F.when(
         (F.col("item_key") == F.col("item_a_key")) | (F.col("item_key") == F.col("item_b_key")), 1
     ).otherwise(0)
-    resolved = (
+    return (
         pairs.select("item_pair_key", "item_a_key", "item_b_key")
-        .join(members, "item_pair_key", "left")
+        .join(members, "item_pair_key", "full")
         .groupBy("item_pair_key")
-        .agg(F.count("item_key").alias("_rows"), F.sum(is_member).alias("_members"))
-        .filter((F.col("_rows") != 2) | (F.col("_members") != 2))
+        .agg(
+            F.count("item_a_key").alias("_pair"),
+            F.count("item_key").alias("_rows"),
+            F.sum(is_member).alias("_members"),
+        )
     )
-    return _tally(resolved, "bridge_resolves_each_pair")
+
+
+def _unresolved() -> Column:
+    """A pair whose bridge rows are not exactly its own two items."""
+    return (F.col("_pair") > 0) & ((F.col("_rows") != 2) | (F.col("_members") != 2))
+
+
+def bridge_resolves(pairs: DataFrame, bridge: DataFrame) -> DataFrame:
+    return _profile(
+        _pairs_with_members(pairs, bridge), {"bridge_resolves_each_pair": _unresolved()}
+    )
+
+
+def bridge_matches_pairs(pairs: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Both directions of bridge and pairs: pairs resolve, and no row lacks its pair."""
+    lost = F.when((F.col("_pair") == 0) & F.col("item_pair_key").isNotNull(), F.col("_rows"))
+    found = _pairs_with_members(pairs, bridge).agg(
+        F.count_if(_unresolved()).alias("bridge_resolves_each_pair"),
+        F.coalesce(F.sum(lost), F.lit(0)).alias("relationships_bridge_item_pair_item_pair_key"),
+    )
+    return found.unpivot([], found.columns, "check_name", "violations")
 
 
 def facts_have_parents(lines: DataFrame, items: DataFrame, dates: DataFrame) -> DataFrame:
@@ -320,64 +364,44 @@ def categories_are_normalised(categories: DataFrame) -> DataFrame:
     return _tally(twice, "categories_are_case_normalised")
 
 
-def quantities_are_not_negative(lines: DataFrame) -> DataFrame:
-    return _count_where(lines, {"quantity_non_negative": F.col("quantity") < 0})
-
-
-def _of(name: str, table: DataFrame) -> DataFrame:
-    return not_null(table, name, NOT_NULL[name])
-
-
 def check_table(name: str, table: Tables) -> DataFrame:
-    """All declared and written checks of one table."""
-    this = table(name)
-    checks: list[DataFrame] = []
-    if name == "fact_sales_line":
-        # Null, value and sign rules read the widest table once.
-        rules = {f"not_null_{name}_{c}": F.col(c).isNull() for c in NOT_NULL[name]}
-        rules["accepted_values_fact_sales_line_hour_of_day"] = ~F.col("hour_of_day").isin(HOURS)
-        rules["quantity_non_negative"] = F.col("quantity") < 0
-        checks.append(_count_where(this, rules))
-    elif name in NOT_NULL:
-        checks.append(_of(name, this))
-    checks += [unique(this, name, c) for c in UNIQUE.get(name, [])]
-    checks += [
-        references(this, name, c, table(parent), pc) for c, parent, pc in REFERENCES.get(name, [])
-    ]
-    checks += _written_checks(name, table)
-    return _together(checks)
-
-
-def _written_checks(name: str, table: Tables) -> list[DataFrame]:
+    """All declared and written checks of one table, in as few passes as they allow."""
     this = table(name)
+    rules = _null_rules(name, NOT_NULL.get(name, []))
+    verdicts: Rules = {}
+    links = REFERENCES.get(name, [])
+    more: list[DataFrame] = []
     if name == "raw_lines":
-        return [raw_matches_staging(this, table("stg_sales"))]
-    if name == "dim_category":
-        return [categories_are_normalised(this)]
-    if name == "fact_sales_line":
+        verdicts = _raw_verdict(_summary(table("stg_sales")))
+    elif name == "dim_category":
+        more = [categories_are_normalised(this)]
+    elif name == "fact_sales_line":
         sales, items, dates = table("stg_sales"), table("dim_item"), table("dim_date")
-        return [
-            fact_revenue_matches(sales, this),
-            fact_rows_match(sales, this),
-            facts_have_parents(this, items, dates),
-            events_clear_the_floor(sales, this, dates),
-        ]
-    if name == "fact_item_daily":
+        staged = _summary(sales)
+        rules |= _hour_rule() | _quantity_rule()
+        verdicts = _revenue_verdict(staged) | _rows_verdict(staged)
+        more = [facts_have_parents(this, items, dates), events_clear_the_floor(sales, this, dates)]
+    elif name == "fact_item_daily":
         items, dates = table("dim_item"), table("dim_date")
-        return [
-            grid_is_complete(items, dates, this),
-            dense_revenue_matches(this, table("fact_sales_line"), dates),
-            daily_labels_match(this, items, dates),
-        ]
-    if name == "fact_item_pairs":
-        return [
+        verdicts = _grid_verdict(items, dates) | _dense_verdict(table("fact_sales_line"), dates)
+        more = [daily_labels_match(this, items, dates)]
+    elif name == "fact_item_pairs":
+        rules |= _order_rule()
+        more = [
             pair_labels_match(this, table("dim_item"), table("dim_date")),
-            pairs_are_unordered(this),
             pair_labels_are_unique(this),
         ]
-    if name == "bridge_item_pair":
-        return [bridge_resolves(table("fact_item_pairs"), this)]
-    return []
+    elif name == "bridge_item_pair":
+        links = [link for link in links if link[1] != "fact_item_pairs"]
+        more = [bridge_matches_pairs(table("fact_item_pairs"), this)]
+    return _together(
+        [
+            _profile(this, rules, verdicts),
+            *[unique(this, name, c) for c in UNIQUE.get(name, [])],
+            *[references(this, name, c, table(parent), pc) for c, parent, pc in links],
+            *more,
+        ]
+    )
 
 
 def failures(results: DataFrame) -> dict[str, int]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventmart.functions import pair_label, surrogate_key
 from eventmart.operators.baskets import BLOCK_ITEMS, pair_up
-from eventmart.operators.densify import spread_over_days
+from eventmart.operators.densify import fill_days, unfold_over_days
 
 DAY_LABELS = ["date_key", "full_date", "convention_day", "day_in_event", "event_name"]
 
@@ -18,7 +18,8 @@ def trading_dates(dates: DataFrame, *columns: str) -> DataFrame:
     The date dimension has one row per calendar date, so its size does not grow
     with the number of sales.
     """
-    return F.broadcast(dates.filter("is_trading_day").select(*columns))
+    days = dates.filter("is_trading_day").select(*columns)
+    return F.broadcast(days)
 
 
 def sales_line_fact(sales: DataFrame) -> DataFrame:
@@ -68,34 +69,37 @@ def item_day_actuals(lines: DataFrame) -> DataFrame:
 def item_day_grid(items: DataFrame, dates: DataFrame) -> DataFrame:
     """Every item on every trading day, with the labels of both."""
     days = dates.filter("is_trading_day").select(*DAY_LABELS)
-    return spread_over_days(
-        items.select("item_key", "item_name", "category_name"), days, "item_key"
-    )
+    return unfold_over_days(items.select("item_key", "item_name", "category_name"), days)
 
 
 def item_daily_fact(items: DataFrame, dates: DataFrame, lines: DataFrame) -> DataFrame:
-    """One row per item and trading day; a day without sales is an explicit zero.
-
-    Sums are formed before the join, then placed by item next to the grid, which
-    has been built in place: the join moves no grid row.
-    """
-    actuals = item_day_actuals(lines).repartition("item_key").withColumn("_sold", F.lit(True))
-    dense = item_day_grid(items, dates).join(actuals, ["item_key", "date_key"], "left")
+    """One row per item and trading day; a day without sales is an explicit zero."""
+    measures = ["quantity", "net_sales", "gross_sales", "transactions"]
+    dense = fill_days(
+        item_day_actuals(lines),
+        items.select("item_key", "item_name", "category_name"),
+        dates.filter("is_trading_day").select(*DAY_LABELS),
+        item="item_key",
+        day="date_key",
+        order="full_date",
+        measures=measures,
+    )
     return dense.select(
         surrogate_key("item_key", "date_key").alias("item_day_key"),
         "item_key",
         "item_name",
         "category_name",
         *DAY_LABELS,
-        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("quantity", "net_sales", "gross_sales", "transactions")],
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in measures],
         # A refund can bring a real row to zero, so the flag is not "quantity = 0".
-        F.coalesce("_sold", F.lit(False)).alias("sold_that_day"),
+        F.col("happened").alias("sold_that_day"),
     )
 
 
 def basket_items(lines: DataFrame, dates: DataFrame) -> DataFrame:
     """Each item of a basket once, on trading days, with the event of the basket."""
-    events = trading_dates(dates, "date_key", "event_key")
+    days = dates.filter("is_trading_day").select("date_key", "event_key")
+    events = F.broadcast(days.filter(F.col("event_key").isNotNull()))
     return (
         lines.join(events, "date_key")
         .select("event_key", "transaction_id", "item_key")
