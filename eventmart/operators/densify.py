@@ -8,22 +8,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def unfold_over_days(items: DataFrame, days: DataFrame) -> DataFrame:
-    """One row per item and day.
-
-    The days (one per calendar date, a few thousand at most) travel as a single
-    array value and each item is unfolded over it where it is read: a narrow
-    step without a join.
-    """
-    calendar = days.agg(F.sort_array(F.collect_list(F.struct(*days.columns))).alias("days"))
-    return items.withColumn("_day", F.explode(calendar.scalar())).select(*items.columns, "_day.*")
-
-
 def numbered(days: DataFrame, order: str) -> DataFrame:
     """Days counted from one; the window sees one row per calendar date."""
     return days.withColumn("_slot", F.row_number().over(Window.orderBy(order)))
 
 
+def unfold_over_days(items: DataFrame, days: DataFrame, order: str) -> DataFrame:
+    """One row per item and day: each item counts through the days where it is read.
+
+    The labels of a day then join by its number.
+    """
+    calendar = numbered(days, order)
+    last = calendar.agg(F.max("_slot")).scalar()
+    slots = F.explode(F.sequence(F.lit(1), last)).alias("_slot")
+    return items.select("*", slots).join(calendar, "_slot").drop("_slot")
+
+
 def fill_days(
     sold: DataFrame,
     items: DataFrame,
@@ -43,7 +43,7 @@ def fill_days(
     """
     calendar = numbered(days, order)
     last = calendar.agg(F.max("_slot")).scalar()
-    slots = F.broadcast(calendar.select(day, "_slot"))
+    slots = calendar.select(day, "_slot")
     labels = [c for c in items.columns if c != item]
 
     stops = (
@@ -75,6 +75,6 @@ def fill_days(
             *[F.when(happened, F.col(m)).alias(m) for m in measures],
             happened.alias("happened"),
         )
-        .join(F.broadcast(calendar.withColumnRenamed("_slot", "_day")), "_day")
+        .join(calendar.withColumnRenamed("_slot", "_day"), "_day")
         .drop("_day")
     )

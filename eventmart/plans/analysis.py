@@ -2,8 +2,8 @@
 
 Sales are summed to keys before a dimension joins, so joins see one row per item
 or day and a key that holds a large part of all sales is combined where it is
-read. No join here carries a broadcast hint except on trading days; for items
-and categories Spark decides from the sizes of the written tables.
+read. No join here carries a broadcast hint: Spark decides from the sizes of the
+written tables and revises the choice while it runs.
 """
 
 from __future__ import annotations
@@ -29,7 +29,10 @@ def percent(part: Column, whole: Column, digits: int) -> Column:
 
 def with_share(table: DataFrame, measure: str, name: str, digits: int = 1) -> DataFrame:
     """Adds each row's percentage of the total of ``measure``."""
-    total = table.agg(F.sum(measure)).scalar()
+    # The total sums every measure, so that it reads the very shuffle the table
+    # itself is read from instead of a narrower one of its own.
+    sums = [F.sum(c).alias(c) for c, kind in table.dtypes if kind.startswith("decimal")]
+    total = table.agg(F.struct(*sums).alias("t")).scalar()[measure]
     return table.withColumn(name, percent(F.col(measure), total, digits))
 
 

@@ -240,12 +240,8 @@ def _differ(left: str, right: str) -> Column:
 
 
 def daily_labels_match(daily: DataFrame, items: DataFrame, dates: DataFrame) -> DataFrame:
-    labels = F.broadcast(
-        dates.select(
-            "date_key",
-            F.col("convention_day").alias("_day"),
-            F.col("event_name").alias("_event"),
-        )
+    labels = dates.select(
+        "date_key", F.col("convention_day").alias("_day"), F.col("event_name").alias("_event")
     )
     names = items.select("item_key", F.col("item_name").alias("_name"))
     drifted = (
@@ -262,10 +258,7 @@ def daily_labels_match(daily: DataFrame, items: DataFrame, dates: DataFrame) ->
 
 
 def pair_labels_match(pairs: DataFrame, items: DataFrame, dates: DataFrame) -> DataFrame:
-    # At most one row per calendar date.
-    events = F.broadcast(
-        dates.select("event_key", F.col("event_name").alias("_event")).distinct()
-    )
+    events = dates.select("event_key", F.col("event_name").alias("_event")).distinct()
     names = items.select("item_key", "item_name")
     drifted = (
         pairs.join(events, "event_key")
@@ -328,7 +321,7 @@ def facts_have_parents(lines: DataFrame, items: DataFrame, dates: DataFrame) ->
     """Fact rows without an item or without a date, counted per distinct key pair."""
     keys = lines.groupBy("item_key", "date_key").agg(F.count("*").alias("_n"))
     known_items = items.select("item_key", F.lit(True).alias("_item"))
-    known_dates = F.broadcast(dates.select("date_key", F.lit(True).alias("_date")))
+    known_dates = dates.select("date_key", F.lit(True).alias("_date"))
     orphans = (
         keys.join(known_dates, "date_key", "left")
         .join(known_items, "item_key", "left")

@@ -192,11 +192,8 @@ def best_selling_item(table: Tables) -> DataFrame:
 
 def units_of_latest_event(table: Tables) -> DataFrame:
     """Units and transactions per item, for the newest event only."""
-    newest = F.broadcast(
-        table("dim_date")
-        .filter("is_trading_day")
-        .join(F.broadcast(latest_event(table).select("event_key")), "event_key", "left_semi")
-        .select("date_key", "event_name")
+    newest = trading_dates(table("dim_date"), "date_key", "event_key", "event_name").join(
+        latest_event(table).select("event_key"), "event_key", "left_semi"
     )
     return (
         table("fact_sales_line")

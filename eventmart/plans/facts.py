@@ -13,13 +13,13 @@ DAY_LABELS = ["date_key", "full_date", "convention_day", "day_in_event", "event_
 
 
 def trading_dates(dates: DataFrame, *columns: str) -> DataFrame:
-    """Trading days only, marked for broadcast.
+    """The given columns of the trading days: one row per calendar date.
 
-    The date dimension has one row per calendar date, so its size does not grow
-    with the number of sales.
+    Nothing here forces a broadcast. The written date table is small and Spark
+    sees that from its files; should it ever exceed the threshold, the join
+    shuffles instead.
     """
-    days = dates.filter("is_trading_day").select(*columns)
-    return F.broadcast(days)
+    return dates.filter("is_trading_day").select(*columns)
 
 
 def sales_line_fact(sales: DataFrame) -> DataFrame:
@@ -68,8 +68,11 @@ def item_day_actuals(lines: DataFrame) -> DataFrame:
 
 def item_day_grid(items: DataFrame, dates: DataFrame) -> DataFrame:
     """Every item on every trading day, with the labels of both."""
-    days = dates.filter("is_trading_day").select(*DAY_LABELS)
-    return unfold_over_days(items.select("item_key", "item_name", "category_name"), days)
+    return unfold_over_days(
+        items.select("item_key", "item_name", "category_name"),
+        trading_dates(dates, *DAY_LABELS),
+        order="full_date",
+    )
 
 
 def item_daily_fact(items: DataFrame, dates: DataFrame, lines: DataFrame) -> DataFrame:
@@ -78,7 +81,7 @@ def item_daily_fact(items: DataFrame, dates: DataFrame, lines: DataFrame) -> Dat
     dense = fill_days(
         item_day_actuals(lines),
         items.select("item_key", "item_name", "category_name"),
-        dates.filter("is_trading_day").select(*DAY_LABELS),
+        trading_dates(dates, *DAY_LABELS),
         item="item_key",
         day="date_key",
         order="full_date",
@@ -98,8 +101,10 @@ def item_daily_fact(items: DataFrame, dates: DataFrame, lines: DataFrame) -> Dat
 
 def basket_items(lines: DataFrame, dates: DataFrame) -> DataFrame:
     """Each item of a basket once, on trading days, with the event of the basket."""
-    days = dates.filter("is_trading_day").select("date_key", "event_key")
-    events = F.broadcast(days.filter(F.col("event_key").isNotNull()))
+    days = trading_dates(dates, "date_key", "event_key")
+    # Later joins need a key anyway; asking for it here keeps all uses of the
+    # distinct items alike, so they share one shuffle.
+    events = days.filter(F.col("event_key").isNotNull())
     return (
         lines.join(events, "date_key")
         .select("event_key", "transaction_id", "item_key")
@@ -123,8 +128,7 @@ def item_pairs_fact(
         F.col("a_item").alias("item_a_key"),
         F.col("b_item").alias("item_b_key"),
     ).agg(F.count("*").alias("baskets"))
-    # One row per event, and no more events than calendar dates.
-    events = F.broadcast(dates.filter("is_trading_day").select("event_key", "event_name").distinct())
+    events = trading_dates(dates, "event_key", "event_name").distinct()
     first = items.select(F.col("item_key").alias("item_a_key"), F.col("item_name").alias("item_a"))
     second = items.select(F.col("item_key").alias("item_b_key"), F.col("item_name").alias("item_b"))
     return (

@@ -119,8 +119,7 @@ def drop_dates(spark: SparkSession, table: str, dates: DataFrame) -> None:
 
 def replaced_view(target: DataFrame, batch: DataFrame) -> DataFrame:
     """What ``replace_dates`` leaves behind, without writing anything."""
-    # One row per calendar date: small for any volume of sales.
-    dates = F.broadcast(batch.select("sale_date").filter("sale_date is not null").distinct())
+    dates = batch.select("sale_date").filter("sale_date is not null").distinct()
     return target.join(dates, "sale_date", "left_anti").unionByName(batch)
 
 

@@ -139,6 +139,7 @@ def completed_orders(
     state: str = "state",
     closed_at: str = "closed_at",
     location: str = "location_id",
+    order_id: str = "id",
     completed: str = COMPLETED,
 ) -> DataFrame:
     """Paid orders closed inside the window, at the given locations, oldest first.
@@ -154,7 +155,8 @@ def completed_orders(
     if locations is not None:
         ids = locations.select(F.col("id").alias(location)).distinct()
         kept = kept.join(ids, location, "left_semi")
-    return kept.orderBy(closed_at)
+    # The id keeps orders of one moment from all landing in one sort partition.
+    return kept.orderBy(closed_at, order_id)
 
 
 def closed_in_last_hours(orders: DataFrame, closed_at: str, hours: int = 24) -> DataFrame:
@@ -180,8 +182,9 @@ def location_zones(locations: DataFrame) -> DataFrame:
     usable = F.col("id").isNotNull() & (F.col("id") != "") & (F.col("timezone") != "")
     return (
         locations.filter(usable)
+        .groupBy("id")
+        .agg(F.max("timezone").alias("timezone"))
         .select("id", known_zone_or_utc(F.col("timezone")).alias("zone"))
-        .dropDuplicates(["id"])
     )
 
 

@@ -42,8 +42,8 @@ def merge_orders(
     seen = orders.select(
         F.col("id").alias("transaction_id"), F.col("extracted_at").alias("_seen")
     )
-    # The dates are broadcast, so only the partitions they name are read.
-    touched = landed.join(F.broadcast(dates), "sale_date", "left_semi")
+    # The dates are a small table, so only the partitions they name are read.
+    touched = landed.join(dates, "sale_date", "left_semi")
     staying = (
         touched.join(seen, "transaction_id", "left")
         .filter(F.col("_seen").isNull() | (F.col("extracted_at") > F.col("_seen")))
@@ -80,13 +80,13 @@ class IncrementalLoad:
         self.source = source
 
     def land(self, pages: DataFrame, batch: int) -> None:
-        orders = latest_orders(tidy_pages(pages, "orders"))
+        orders = self._kept(latest_orders(tidy_pages(pages, "orders")), f"orders/{batch}")
         completed = orders.filter(F.col("state") == COMPLETED)
         fresh, _ = split_undated(
             flatten_orders(completed, self.catalog, self.zones, self.source)
         )
         staging = f"{self.checkpoint}/staged/{batch}"
-        dates = order_dates(orders, self.zones)
+        dates = self._kept(order_dates(orders, self.zones), f"dates/{batch}")
         if path_exists(self.spark, self.table):
             landed = read_lines(self.spark, self.table).select(fresh.columns)
             fresh = merge_orders(landed, orders, fresh, dates)
@@ -95,6 +95,12 @@ class IncrementalLoad:
         staged = read_lines(self.spark, staging).select("sale_date").distinct()
         drop_dates(self.spark, self.table, dates.join(staged, "sale_date", "left_anti"))
 
+    def _kept(self, table: DataFrame, name: str) -> DataFrame:
+        """The table written next to the checkpoint: several plans read it."""
+        path = f"{self.checkpoint}/{name}"
+        table.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(table.schema).parquet(path)
+
     def start(self) -> StreamingQuery:
         return (
             self.spark.readStream.schema(stored(ORDER_PAGE))

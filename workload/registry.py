@@ -121,6 +121,7 @@ def completed_orders_window(ws: Workspace) -> DataFrame:
         mapping.locations(ws.spark, ws.sf_dir),
         state="o_orderstatus",
         closed_at="o_orderdate",
+        order_id="o_orderkey",
         completed="F",
     )
     return paid.select("o_orderkey", "location_id", F.to_date("o_orderdate").alias("closed_on"))
