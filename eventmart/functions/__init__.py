@@ -6,6 +6,7 @@ from eventmart.functions.clock import (
     known_zone_or_utc,
     time_text,
     to_local,
+    wall_clock_in_utc,
     weekday_name,
 )
 from eventmart.functions.keys import pseudonym, surrogate_key
@@ -43,5 +44,6 @@ __all__ = [
     "surrogate_key",
     "time_text",
     "to_local",
+    "wall_clock_in_utc",
     "weekday_name",
 ]

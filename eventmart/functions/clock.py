@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 UTC = "UTC"
 
 
-def iso_to_utc(text: Column) -> Column:
-    """ISO-8601 text with ``Z`` or an offset to a zone-less timestamp in UTC."""
-    micros = F.unix_micros(F.to_timestamp(F.nullif(text, F.lit(""))))
+def wall_clock_in_utc(moment: Column) -> Column:
+    """An instant as a zone-less timestamp in UTC, whatever zone the session has."""
+    micros = F.unix_micros(moment)
     seconds = (micros.cast("decimal(20,0)") / F.lit(1000000)).cast("decimal(18,6)")
     zero = F.lit(0)
     return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(
@@ -18,6 +18,11 @@ def iso_to_utc(text: Column) -> Column:
     )
 
 
+def iso_to_utc(text: Column) -> Column:
+    """ISO-8601 text with ``Z`` or an offset to a zone-less timestamp in UTC."""
+    return wall_clock_in_utc(F.to_timestamp(F.nullif(text, F.lit(""))))
+
+
 def known_zone_or_utc(zone: Column) -> Column:
     """The zone name if Spark can resolve it, else UTC.
 

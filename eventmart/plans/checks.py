@@ -279,20 +279,35 @@ def pair_labels_are_unique(pairs: DataFrame) -> DataFrame:
 
 
 def _pairs_with_members(pairs: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Bridge rows and members per pair key of either table, from one join."""
-    members = bridge.select("item_pair_key", "item_key")
-    is_member = F.when(
-        (F.col("item_key") == F.col("item_a_key")) | (F.col("item_key") == F.col("item_b_key")), 1
-    ).otherwise(0)
-    return (
-        pairs.select("item_pair_key", "item_a_key", "item_b_key")
-        .join(members, "item_pair_key", "full")
-        .groupBy("item_pair_key")
-        .agg(
-            F.count("item_a_key").alias("_pair"),
-            F.count("item_key").alias("_rows"),
-            F.sum(is_member).alias("_members"),
-        )
+    """Per pair key of either table: is there a pair, its bridge rows, those of its items.
+
+    Expected and found members stand in one table that is distributed by pair
+    once; both groupings then run in place, without a join or a sort.
+    """
+    columns = ["item_pair_key", "item_key", "_wanted", "_found"]
+    wanted = pairs.select(
+        "item_pair_key",
+        F.explode(F.array_distinct(F.array("item_a_key", "item_b_key"))).alias("item_key"),
+        F.lit(1).alias("_wanted"),
+        F.lit(0).alias("_found"),
+    )
+    found = bridge.select(
+        "item_pair_key",
+        "item_key",
+        F.lit(0).alias("_wanted"),
+        F.col("item_key").isNotNull().cast("int").alias("_found"),
+    )
+    members = (
+        wanted.select(columns)
+        .unionByName(found.select(columns))
+        .repartition("item_pair_key")
+        .groupBy("item_pair_key", "item_key")
+        .agg(F.sum("_wanted").alias("_wanted"), F.sum("_found").alias("_found"))
+    )
+    return members.groupBy("item_pair_key").agg(
+        F.sum("_wanted").alias("_pair"),
+        F.sum("_found").alias("_rows"),
+        F.sum(F.when(F.col("_wanted") > 0, F.col("_found")).otherwise(0)).alias("_members"),
     )
 
 

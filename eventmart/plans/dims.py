@@ -18,27 +18,27 @@ NO_EVENT = "Non-trading day"
 NO_DAY = "Non-trading"
 
 
-def category_dimension(sales: DataFrame) -> DataFrame:
-    """One row per category name."""
-    names = sales.select("category_name").distinct()
+def category_dimension(labels: DataFrame) -> DataFrame:
+    """One row per category name; takes staged sales or just their labels."""
+    names = labels.select("category_name").distinct()
     return names.select(surrogate_key("category_name").alias("category_key"), "category_name")
 
 
-def item_dimension(sales: DataFrame) -> DataFrame:
+def item_dimension(labels: DataFrame) -> DataFrame:
     """One row per natural key with the greatest of its labels.
 
-    Labels are made distinct first. That step combines rows by hash before the
+    Takes staged sales or just their labels. Labels are made distinct first. That step combines rows by hash before the
     shuffle, while a maximum of text would sort every sale; afterwards only a
     handful of rows per item is left to compare.
     """
-    labels = ["sku", "item_name", "category_name"]
-    seen = sales.select("item_natural_key", *labels).distinct()
-    items = seen.groupBy("item_natural_key").agg(*[F.max(c).alias(c) for c in labels])
+    names = ["sku", "item_name", "category_name"]
+    seen = labels.select("item_natural_key", *names).distinct()
+    items = seen.groupBy("item_natural_key").agg(*[F.max(c).alias(c) for c in names])
     return items.select(
         surrogate_key("item_natural_key").alias("item_key"),
         surrogate_key("category_name").alias("category_key"),
         "item_natural_key",
-        *labels,
+        *names,
     )
 
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 import logging
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, DecimalType, TimestampNTZType, TimestampType
 
+from eventmart.functions import wall_clock_in_utc
+
 log = logging.getLogger(__name__)
 
 # Gzip files cannot be split, so a page count per file keeps read tasks even.
@@ -24,8 +26,14 @@ def extract_path(root: str, dataset: str, extracted_at: datetime) -> str:
     )
 
 
-def _as_text(kind: DataType) -> bool:
-    return isinstance(kind, (DecimalType, DateType, TimestampType, TimestampNTZType))
+def _plain(name: str, kind: DataType) -> Column:
+    """Numbers with a fixed scale and dates as text: JSON would change their shape."""
+    value = F.col(name)
+    if isinstance(kind, TimestampType):
+        return F.concat(wall_clock_in_utc(value).cast("string"), F.lit("+00:00")).alias(name)
+    if isinstance(kind, (DecimalType, DateType, TimestampNTZType)):
+        return value.cast("string").alias(name)
+    return value
 
 
 class PayloadArchive:
@@ -43,15 +51,9 @@ class PayloadArchive:
     ) -> str | None:
         path = extract_path(self.root, dataset, extracted_at or datetime.now(timezone.utc))
         try:
-            # Numbers with a fixed scale and dates would change shape in JSON.
-            plain = pages.select(
-                *[
-                    F.col(f.name).cast("string").alias(f.name) if _as_text(f.dataType) else f.name
-                    for f in pages.schema.fields
-                ]
-            )
             (
-                plain.write.mode("append")
+                pages.select(*[_plain(f.name, f.dataType) for f in pages.schema.fields])
+                .write.mode("append")
                 .option("compression", "gzip")
                 .option("maxRecordsPerFile", PAGES_PER_FILE)
                 .json(path)

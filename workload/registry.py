@@ -66,6 +66,10 @@ class Workspace:
             self._star = Star(self.spark, raw, self.root)
         return self._star
 
+    def use(self, star: Star) -> None:
+        """Ask an already built star instead of building one."""
+        self._star = star
+
     def table(self, name: str) -> DataFrame:
         return self.star.table(name)
 
