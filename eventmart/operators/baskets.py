@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A basket with more items than this is cut into blocks, so that no task joins
-# more than this many items with as many others.
-BLOCK_ITEMS = 2_000
+from eventmart.session import shuffle_width
+
+# A basket with more items than this is cut into blocks, so that no join key
+# brings more than this many items together with as many others.
+BLOCK_ITEMS = 500
 
 
 def _side(items: DataFrame, keep: Sequence[str | Column], item: str, carry: Sequence[str], mark: str):
@@ -38,6 +40,9 @@ def pair_up(
     by hash, and cell (x, y) with x <= y joins block x with block y. Each pair
     meets in exactly one cell, and a cell is one small join key.
     """
+    # The work of a cell grows with the square of its bytes: a fixed width keeps
+    # cells from being packed into one task because they look small.
+    width = shuffle_width(items)
     # Stated once at the bottom: joins would add these filters branch by branch, and
     # branches that differ cannot share the shuffle that made the items distinct.
     items = items.filter(F.col(basket).isNotNull() & F.col(item).isNotNull())
@@ -64,7 +69,9 @@ def pair_up(
     down = F.explode(F.sequence(F.lit(0), "_block")).alias("_x")
     x_side = _side(placed, [basket, F.col("_block").alias("_x"), across], item, carry, "p")
     y_side = _side(placed, [basket, down, F.col("_block").alias("_y")], item, carry, "q")
-    met = x_side.join(y_side, [basket, "_x", "_y"]).filter(
+    cell = [basket, "_x", "_y"]
+    placed_pairs = x_side.repartition(width, *cell).join(y_side.repartition(width, *cell), cell)
+    met = placed_pairs.filter(
         (F.col("_x") < F.col("_y")) | (F.col("p_item") < F.col("q_item"))
     )
     ordered = F.col("p_item") < F.col("q_item")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventmart.session import shuffle_width
+
 
 def numbered(days: DataFrame, order: str) -> DataFrame:
     """Days counted from one; the window sees one row per calendar date."""
@@ -21,7 +23,8 @@ def unfold_over_days(items: DataFrame, days: DataFrame, order: str) -> DataFrame
     calendar = numbered(days, order)
     last = calendar.agg(F.max("_slot")).scalar()
     slots = F.explode(F.sequence(F.lit(1), last)).alias("_slot")
-    return items.select("*", slots).join(calendar, "_slot").drop("_slot")
+    spread = items.repartition(shuffle_width(items), *items.columns)
+    return spread.select("*", slots).join(calendar, "_slot").drop("_slot")
 
 
 def fill_days(
@@ -50,6 +53,7 @@ def fill_days(
         items.withColumn("_slot", F.lit(0))
         .withColumn("_known", F.lit(True))
         .unionByName(sold.join(slots, day).drop(day), allowMissingColumns=True)
+        .repartition(shuffle_width(items), item)
     )
     in_order = Window.partitionBy(item).orderBy("_slot")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -1,11 +1,11 @@
-"""Where written intermediate tables live."""
+"""What the running session decides: where written tables live, how wide a shuffle is."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -28,6 +28,16 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def shuffle_width(table: DataFrame) -> int:
+    """The configured number of shuffle partitions.
+
+    Passing it to ``repartition`` fixes the width of a step whose output is far
+    larger than its input; left alone, the adaptive planner would size its tasks
+    by the input.
+    """
+    return int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """A path nobody has used yet below the scratch root."""
     return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
