@@ -14,16 +14,14 @@ def for_event(table: DataFrame, event_name: str) -> DataFrame:
     return table.filter(F.col("event_name") == event_name)
 
 
-def latest_event(table: Tables) -> DataFrame:
-    """Key, name and start of the newest event: one row."""
-    return (
-        table("dim_date")
-        .filter("is_trading_day")
-        .groupBy("event_key", "event_name", "event_start_date")
-        .agg(F.count("*").alias("days"))
-        .orderBy(F.desc("event_start_date"))
-        .limit(1)
-    )
+def latest_event(dates: DataFrame) -> DataFrame:
+    """The dates of the newest event.
+
+    The comparison with a single value marks the dates as a selective side: a
+    join of sale lines with them reads the partitions of these dates alone.
+    """
+    newest = dates.agg(F.max("event_start_date")).scalar()
+    return dates.filter(F.col("event_start_date") == newest)
 
 
 def headline_tiles(table: Tables) -> DataFrame:
@@ -192,9 +190,7 @@ def best_selling_item(table: Tables) -> DataFrame:
 
 def units_of_latest_event(table: Tables) -> DataFrame:
     """Units and transactions per item, for the newest event only."""
-    newest = trading_dates(table("dim_date"), "date_key", "event_key", "event_name").join(
-        latest_event(table).select("event_key"), "event_key", "left_semi"
-    )
+    newest = latest_event(table("dim_date")).select("date_key", "event_name")
     return (
         table("fact_sales_line")
         .join(newest, "date_key")
