@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
@@ -109,11 +112,11 @@ def replace_dates(batch: DataFrame, table: str, staging: str) -> None:
     _write(staged, table, "overwrite", "dynamic")
 
 
-def drop_dates(spark: SparkSession, table: str, dates: DataFrame) -> None:
-    """Remove the partitions of the dates (one row per calendar date)."""
+def drop_dates(spark: SparkSession, table: str, dates: Iterable[date]) -> None:
+    """Remove the partitions of the dates."""
     context = spark.sparkContext
-    for row in dates.select("sale_date").collect():
-        folder = context._jvm.org.apache.hadoop.fs.Path(f"{table}/sale_date={row.sale_date}")
+    for day in dates:
+        folder = context._jvm.org.apache.hadoop.fs.Path(f"{table}/sale_date={day.isoformat()}")
         folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 

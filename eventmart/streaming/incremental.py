@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,16 +23,22 @@ from eventmart.sources.schemas import ORDER_PAGE
 FILES_PER_BATCH = 1_000
 
 
-def order_dates(orders: DataFrame, zones: DataFrame) -> DataFrame:
-    """Local sale dates the orders fall on: at most one row per calendar date."""
+def _days(table: DataFrame) -> set[date]:
+    """The sale dates of a table: never more values than the calendar has."""
+    dates = table.select("sale_date").filter("sale_date is not null").distinct()
+    return {row.sale_date for row in dates.collect()}
+
+
+def order_dates(orders: DataFrame, zones: DataFrame) -> set[date]:
+    """Local sale dates the orders fall on."""
     moments = orders.select(
         "location_id", first_present(F.col("closed_at"), F.col("created_at")).alias("sold_at")
     )
-    return with_local_time(moments, zones).select("sale_date").distinct()
+    return _days(with_local_time(moments, zones))
 
 
 def merge_orders(
-    landed: DataFrame, orders: DataFrame, fresh: DataFrame, dates: DataFrame
+    landed: DataFrame, orders: DataFrame, fresh: DataFrame, dates: set[date]
 ) -> DataFrame:
     """All lines of the touched dates, each order in the version extracted last.
 
@@ -42,8 +50,8 @@ def merge_orders(
     seen = orders.select(
         F.col("id").alias("transaction_id"), F.col("extracted_at").alias("_seen")
     )
-    # The dates are a small table, so only the partitions they name are read.
-    touched = landed.join(dates, "sale_date", "left_semi")
+    # As literals the dates select partitions while the scan is planned.
+    touched = landed.filter(F.col("sale_date").isin(sorted(dates)))
     staying = (
         touched.join(seen, "transaction_id", "left")
         .filter(F.col("_seen").isNull() | (F.col("extracted_at") > F.col("_seen")))
@@ -86,14 +94,13 @@ class IncrementalLoad:
             flatten_orders(completed, self.catalog, self.zones, self.source)
         )
         staging = f"{self.checkpoint}/staged/{batch}"
-        dates = self._kept(order_dates(orders, self.zones), f"dates/{batch}")
+        dates = order_dates(orders, self.zones)
         if path_exists(self.spark, self.table):
             landed = read_lines(self.spark, self.table).select(fresh.columns)
             fresh = merge_orders(landed, orders, fresh, dates)
         replace_dates(fresh, self.table, staging)
         # A date whose last completed order was withdrawn has no rows to overwrite it with.
-        staged = read_lines(self.spark, staging).select("sale_date").distinct()
-        drop_dates(self.spark, self.table, dates.join(staged, "sale_date", "left_anti"))
+        drop_dates(self.spark, self.table, dates - _days(read_lines(self.spark, staging)))
 
     def _kept(self, table: DataFrame, name: str) -> DataFrame:
         """The table written next to the checkpoint: several plans read it."""
