@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from datetime import date
 
@@ -79,17 +80,37 @@ def read_lines(spark: SparkSession, path: str, schema: StructType = LANDED_LINES
 
 
 def full_refresh(batch: DataFrame, table: str) -> bool:
-    """Replace the table by the batch. An empty batch leaves the table alone."""
-    if batch.isEmpty():
-        return False
-    _write(_by_date(batch), table, "overwrite")
-    return True
+    """Replace the table by the batch. An empty batch leaves the table alone.
 
+    The batch is computed once, into a folder of its own. Only finished files
+    then overwrite the table, so a batch that fails leaves the old rows in place;
+    its staged files stay behind for a look at them.
+    """
+    spark = batch.sparkSession
+    staging = f"{table.rstrip('/')}-staged-{uuid.uuid4().hex}"
+    _write(_by_date(batch), staging, "overwrite")
+    staged = spark.read.schema(batch.schema).parquet(staging)
+    filled = not staged.isEmpty()
+    if filled:
+        _write(staged, table, "overwrite")
+    _delete(spark, staging)
+    return filled
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+
+def _path(spark: SparkSession, path: str):
     context = spark.sparkContext
     jvm_path = context._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(context._jsc.hadoopConfiguration()).exists(jvm_path)
+    return jvm_path.getFileSystem(context._jsc.hadoopConfiguration()), jvm_path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, jvm_path = _path(spark, path)
+    files.delete(jvm_path, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, jvm_path = _path(spark, path)
+    return files.exists(jvm_path)
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
@@ -114,10 +135,8 @@ def replace_dates(batch: DataFrame, table: str, staging: str) -> None:
 
 def drop_dates(spark: SparkSession, table: str, dates: Iterable[date]) -> None:
     """Remove the partitions of the dates."""
-    context = spark.sparkContext
     for day in dates:
-        folder = context._jvm.org.apache.hadoop.fs.Path(f"{table}/sale_date={day.isoformat()}")
-        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(spark, f"{table}/sale_date={day.isoformat()}")
 
 
 def replaced_view(target: DataFrame, batch: DataFrame) -> DataFrame:
