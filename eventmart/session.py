@@ -2,30 +2,25 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
-
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: on a cluster no
-    executor could read a folder of the driver's machine.
+    Where that is unset, as in tests, a folder of this application below the warehouse,
+    which executors share as well; it is deleted when the application ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = context.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="eventmart-")
-    return _local_roots[app]
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    root = f"{warehouse}/_scratch/{spark.sparkContext.applicationId}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return root
 
 
 def shuffle_width(table: DataFrame) -> int:
