@@ -21,10 +21,12 @@ PATTERN = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 _split = regex.compile(PATTERN).findall
-_odd_space = regex.compile(r"[\p{White_Space}--\n]", regex.V1).search
+_odd_space = regex.compile(r"\p{White_Space}").search
 
 # Longer pre-tokens are not remembered: they hardly ever come twice.
 LONGEST_KEPT = 64
+# One of these after letters is a pre-token of its own.
+STOPS = tuple(".,;:!?")
 
 
 class _OddSpacing(Exception):
@@ -32,55 +34,68 @@ class _OddSpacing(Exception):
 
 
 class _Memory(dict):
-    """Looks up a key and computes it when it is new; forgets all when it is full."""
+    """Looks up a key and computes it when it is new.
+
+    When it is full, its content becomes the older half; of that, what is asked for
+    again moves over, and the rest is forgotten when the newer half is full too.
+    """
 
     def __init__(self, compute: Callable[[str], bytes], size: int):
         super().__init__()
         self._compute, self._size = compute, size
+        self._older: dict[str, bytes] = {}
 
     def __missing__(self, key: str) -> bytes:
-        value = self._compute(key)
-        if len(key) <= LONGEST_KEPT and "\n" not in key:
-            if len(self) >= self._size:
-                self.clear()
-            self[key] = value
+        value = self._older.get(key)
+        if value is None:
+            value = self._compute(key)
+            if len(key) > LONGEST_KEPT:
+                return value
+        if len(self) >= self._size:
+            self._older = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
 class TextEncoder:
     """Texts to token ids as little-endian unsigned 32-bit integers.
 
-    ``encode_pretoken`` maps one pre-token to its ids. Memory holds ``size`` pieces.
+    ``encode_pretoken`` maps one pre-token to its ids. Up to twice ``size`` pieces
+    are remembered.
     """
 
-    def __init__(self, encode_pretoken: Callable[[str], list[int]], size: int = 250_000):
+    def __init__(self, encode_pretoken: Callable[[str], list[int]], size: int = 400_000):
         self._encode_pretoken = encode_pretoken
-        self._pretokens = _Memory(self._ids, size)
-        self._pieces = _Memory(lambda piece: self._piece(" " + piece, piece), size)
-        self._heads = _Memory(lambda piece: self._piece(piece, piece), 50_000)
+        self._pretokens = _Memory(self._ids, size // 4)
+        self._pieces = _Memory(lambda piece: self._piece(" ", piece, self._pieces), size)
+        self._heads = _Memory(lambda piece: self._piece("", piece, self._heads), size // 8)
+        self._feed = self._ids("\n")
 
     def _ids(self, pretoken: str) -> bytes:
         ids = self._encode_pretoken(pretoken)
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _piece(self, text: str, piece: str) -> bytes:
+    def _piece(self, before: str, piece: str, alike: _Memory) -> bytes:
+        """Ids of a run of characters without a space that follows ``before``."""
+        if piece.isalpha():  # letters are one pre-token
+            return self._ids(before + piece)
+        if piece[-1:] in STOPS and piece[:-1].isalpha():
+            return alike[piece[:-1]] + self._pretokens[piece[-1]]
         if not piece or _odd_space(piece):
-            raise _OddSpacing
-        if "\n" in piece:
-            first, *lines = piece.split("\n")
-            if not first or not all(lines):
-                raise _OddSpacing
-            feed = self._pretokens["\n"]
-            begun = self._pieces if text is not piece else self._heads
-            return feed.join([begun[first], *map(self._heads.__getitem__, lines)])
-        pretokens = _split(text)
-        return b"".join(map(self._pretokens.__getitem__, pretokens))
+            raise _OddSpacing  # also where white space meets white space
+        return b"".join(map(self._pretokens.__getitem__, _split(before + piece)))
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        pieces = text.split(" ")
+        heads, pieces, join = self._heads, self._pieces.__getitem__, b"".join
+        found = []
         try:
-            return self._heads[pieces[0]] + b"".join(map(self._pieces.__getitem__, pieces[1:]))
+            for line in text.split("\n"):
+                head, *rest = line.split(" ")
+                found += (heads[head], join(map(pieces, rest)), self._feed)
         except _OddSpacing:
-            return b"".join(map(self._pretokens.__getitem__, _split(text)))
+            return join(map(self._pretokens.__getitem__, _split(text)))
+        found.pop()
+        return join(found)
