@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from eventmart.sources.landing import CSV_TEXT
+
 # Columns that never leave the warehouse.
 PRIVATE_COLUMNS = ("location_id", "device_name_key")
 
@@ -13,8 +15,22 @@ def exportable(table: DataFrame) -> DataFrame:
 
 
 def export_table(table: DataFrame, path: str) -> None:
-    """A folder of CSV files with a header; written by all tasks in parallel."""
-    exportable(table).write.mode("overwrite").option("header", True).csv(path)
+    """A folder of CSV files with a header; written by all tasks in parallel.
+
+    Quotes are doubled, and blanks and line breaks stay, so any CSV reader gives the
+    text back. NULL and empty text both become an empty field. Rebalancing leaves no
+    files that hold a header alone.
+    """
+    (
+        exportable(table)
+        .hint("rebalance")
+        .write.mode("overwrite")
+        .option("header", True)
+        .option("nullValue", "")
+        .option("emptyValue", "")
+        .options(**CSV_TEXT)
+        .csv(path)
+    )
 
 
 def export_star(tables: dict[str, DataFrame], root: str) -> list[str]:

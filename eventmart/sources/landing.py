@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 from datetime import date
 
@@ -66,13 +65,9 @@ def _by_date(lines: DataFrame) -> DataFrame:
     return lines.hint("rebalance", F.col("sale_date"))
 
 
-def _write(lines: DataFrame, path: str, mode: str, overwrite: str = "static") -> None:
-    (
-        lines.write.mode(mode)
-        .option("partitionOverwriteMode", overwrite)
-        .partitionBy("sale_date")
-        .parquet(path)
-    )
+def _write(lines: DataFrame, path: str, mode: str) -> None:
+    static = lines.write.mode(mode).option("partitionOverwriteMode", "static")
+    static.partitionBy("sale_date").parquet(path)
 
 
 def read_lines(spark: SparkSession, path: str, schema: StructType = LANDED_LINES) -> DataFrame:
@@ -82,19 +77,37 @@ def read_lines(spark: SparkSession, path: str, schema: StructType = LANDED_LINES
 def full_refresh(batch: DataFrame, table: str) -> bool:
     """Replace the table by the batch. An empty batch leaves the table alone.
 
-    The batch is computed once, into a folder of its own. Only finished files
-    then overwrite the table, so a batch that fails leaves the old rows in place;
-    its staged files stay behind for a look at them.
+    The batch is written once, into a folder beside the table, and takes the table's
+    place by renaming. A refresh that was cut off between the renames is put right by
+    ``recover``, which every refresh begins with.
     """
-    spark = batch.sparkSession
-    staging = f"{table.rstrip('/')}-staged-{uuid.uuid4().hex}"
-    _write(_by_date(batch), staging, "overwrite")
-    staged = spark.read.schema(batch.schema).parquet(staging)
-    filled = not staged.isEmpty()
-    if filled:
-        _write(staged, table, "overwrite")
-    _delete(spark, staging)
-    return filled
+    spark, (incoming, previous) = batch.sparkSession, _beside(table)
+    recover(spark, table)
+    _write(_by_date(batch), incoming, "overwrite")
+    if spark.read.schema(batch.schema).parquet(incoming).isEmpty():
+        delete(spark, incoming)
+        return False
+    if path_exists(spark, table):
+        _rename(spark, table, previous)
+    _rename(spark, incoming, table)
+    delete(spark, previous)
+    return True
+
+
+def _beside(table: str) -> tuple[str, str]:
+    return f"{table.rstrip('/')}-incoming", f"{table.rstrip('/')}-previous"
+
+
+def recover(spark: SparkSession, table: str) -> None:
+    """Finish or undo a refresh that was cut off: a whole batch wins over the old table."""
+    incoming, previous = _beside(table)
+    if not path_exists(spark, table):
+        if is_complete(spark, incoming) and path_exists(spark, previous):
+            _rename(spark, incoming, table)
+        elif path_exists(spark, previous):
+            _rename(spark, previous, table)
+    delete(spark, incoming)
+    delete(spark, previous)
 
 
 def _path(spark: SparkSession, path: str):
@@ -103,40 +116,60 @@ def _path(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(context._jsc.hadoopConfiguration()), jvm_path
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
     files, jvm_path = _path(spark, path)
     files.delete(jvm_path, True)
 
 
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    files, jvm_path = _path(spark, source)
+    if not files.rename(jvm_path, _path(spark, target)[1]):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     files, jvm_path = _path(spark, path)
     return files.exists(jvm_path)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names inside a folder; none if there is no such folder."""
+    files, jvm_path = _path(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(jvm_path)) if files.exists(jvm_path) else []
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a write to this path was committed."""
     return path_exists(spark, f"{path}/_SUCCESS")
 
 
-def replace_dates(batch: DataFrame, table: str, staging: str) -> None:
-    """Replace exactly the sale dates the batch holds; other dates stay.
+def replace_dates(batch: DataFrame, table: str, staging: str) -> set[date]:
+    """Replace exactly the sale dates the batch holds, which are returned; other dates stay.
 
-    The batch is first written to ``staging``, so that the swap moves finished
-    files and reads nothing from the table it overwrites. A swap that was cut
-    off is repaired by calling again with the same staging path: a complete
-    staged batch is used as it is.
+    The batch is written once, to ``staging``, and its dates are moved into the table
+    by renaming. A call that was cut off is finished by calling again with the same
+    staging path: a complete staged batch is used as it is, and what is still in it
+    has not been moved yet.
     """
     spark = batch.sparkSession
     if not is_complete(spark, staging):
         _write(_by_date(batch), staging, "overwrite")
-    staged = spark.read.schema(batch.schema).parquet(staging)
-    _write(staged, table, "overwrite", "dynamic")
+    moved = f"{staging}/_moved"  # hidden from readers; keeps what the batch held
+    dates = [name for name in children(spark, staging) if name.startswith("sale_date=")]
+    files, jvm_path = _path(spark, table)
+    files.mkdirs(jvm_path)
+    for name in dates:
+        marker_files, marker = _path(spark, f"{moved}/{name}")
+        marker_files.mkdirs(marker)
+        delete(spark, f"{table}/{name}")
+        _rename(spark, f"{staging}/{name}", f"{table}/{name}")
+    return {date.fromisoformat(name.removeprefix("sale_date=")) for name in children(spark, moved)}
 
 
 def drop_dates(spark: SparkSession, table: str, dates: Iterable[date]) -> None:
     """Remove the partitions of the dates."""
     for day in dates:
-        _delete(spark, f"{table}/sale_date={day.isoformat()}")
+        delete(spark, f"{table}/sale_date={day.isoformat()}")
 
 
 def replaced_view(target: DataFrame, batch: DataFrame) -> DataFrame:

@@ -1,14 +1,53 @@
-"""A till's own item export: CSV files with currency text."""
+"""A till's own item export: CSV files with currency text, columns found by name."""
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from eventmart.functions import blank_to_null, currency_to_cents
+from eventmart.sources.landing import CSV_TEXT
 from eventmart.sources.schemas import POS_EXPORT
 
 
+def _headers(spark: SparkSession, pattern: str) -> dict[str, list[str]]:
+    """The files that share each header line; a path per file, as a listing has them.
+
+    A header line holds no line break inside quotes.
+    """
+    lines = spark.read.text(pattern).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    heads = lines.filter("split = 0").groupBy("file").agg(F.min_by("value", "row").alias("head"))
+    kinds: dict[str, list[str]] = {}
+    for found in heads.orderBy("file").collect():
+        kinds.setdefault(found["head"], []).append(found["file"])
+    return kinds
+
+
+def _named(spark: SparkSession, head: str, files: list[str]) -> DataFrame:
+    """The wanted columns of files with one header; a column they lack is NULL."""
+    names = [name.strip() for name in next(csv.reader([head.lstrip("﻿")]), [])]
+    # Positions stand in for names, as a header may hold a name twice.
+    places = StructType([StructField(f"_{i}", StringType()) for i in range(len(names))])
+    rows = spark.read.schema(places).options(header="true", enforceSchema="true", **CSV_TEXT).csv(files)
+    return rows.select(
+        *[
+            (F.col(f"_{names.index(name)}") if name in names else F.lit(None).cast("string")).alias(name)
+            for name in POS_EXPORT.names
+        ],
+        F.col("_metadata.file_path").alias("_file"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+
+
 def _whole_quantity() -> Column:
     text = F.coalesce(F.nullif("Qty", F.lit("")), F.lit("1"))
     return text.cast("double").cast("int")
@@ -17,43 +56,36 @@ def _whole_quantity() -> Column:
 def read_export(spark: SparkSession, pattern: str) -> DataFrame:
     """Lines of every file the pattern matches, with their place in the files.
 
-    Row ids grow within a split of a file, so file, split start and row id
-    together give the order in which the lines were written.
+    Files may have their columns in any order and any further ones. Quoted text may
+    hold quotes and line breaks, so a file is read by one task, and the row id grows
+    in the order in which its lines were written.
     """
-    raw = spark.read.schema(POS_EXPORT).option("header", True).csv(pattern)
+    kinds = _headers(spark, pattern)
+    if not kinds:
+        raise ValueError(f"no export matches {pattern}")
+    raw = reduce(DataFrame.unionByName, [_named(spark, *kind) for kind in kinds.items()])
     name = F.trim(F.col("Item"))
     sku = blank_to_null(F.col("SKU"))
     typed = F.trim(F.col("Category"))
     quantity = _whole_quantity()
     cents = currency_to_cents(F.col("Gross Sales"))
     each = F.floor(cents / F.greatest(quantity, F.lit(1))).cast("bigint")
-    return (
-        raw.withColumns(
-            {
-                "_file": F.col("_metadata.file_path"),
-                "_split": F.col("_metadata.file_block_start"),
-                "_row": F.monotonically_increasing_id(),
-            }
-        )
-        .filter(name.isNotNull() & (name != ""))
-        .select(
-            F.coalesce(sku, name).alias("natural_key"),
-            name.alias("name"),
-            sku.alias("sku"),
-            F.when(~F.lower(typed).isin("", "none"), typed).alias("category"),
-            F.greatest(each, F.lit(0)).alias("price_cents"),
-            F.col("Transaction ID").alias("transaction_id"),
-            quantity.alias("quantity"),
-            "_file",
-            "_split",
-            "_row",
-        )
+    return raw.filter(name.isNotNull() & (name != "")).select(
+        F.coalesce(sku, name).alias("natural_key"),
+        name.alias("name"),
+        sku.alias("sku"),
+        F.when(~F.lower(typed).isin("", "none"), typed).alias("category"),
+        F.greatest(each, F.lit(0)).alias("price_cents"),
+        F.col("Transaction ID").alias("transaction_id"),
+        quantity.alias("quantity"),
+        "_file",
+        "_row",
     )
 
 
 def export_items(lines: DataFrame) -> DataFrame:
     """One row per item, as its first line in the files describes it."""
-    first = Window.partitionBy("natural_key").orderBy("_file", "_split", "_row")
+    first = Window.partitionBy("natural_key").orderBy("_file", "_row")
     return (
         lines.withColumn("_nth", F.row_number().over(first))
         .filter(F.col("_nth") == 1)

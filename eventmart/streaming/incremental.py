@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, IntegerType, StructType, TimestampNTZType
 
-from eventmart.functions import first_present
-from eventmart.operators.flatten import flatten_orders, with_local_time
+from eventmart.operators.flatten import flatten_orders
 from eventmart.sources.landing import (
+    children,
+    delete,
     drop_dates,
     path_exists,
     read_lines,
@@ -18,10 +20,26 @@ from eventmart.sources.landing import (
     split_undated,
 )
 from eventmart.sources.pos_api import COMPLETED, latest_orders, stored, tidy_pages
-from eventmart.sources.schemas import ORDER_PAGE
+from eventmart.sources.schemas import LANDED_LINES, ORDER_PAGE, TEXT, WHOLE, record
 
 FILES_PER_BATCH = 1_000
 
+# Every version of an order that took effect, and a date its lines were landed on.
+VERSIONS = record(
+    id=TEXT,
+    extracted_at=TimestampNTZType(),
+    page_no=WHOLE,
+    place=IntegerType(),
+    sale_date=DateType(),
+    run=TEXT,
+    batch=WHOLE,
+)
+
+
+def _version() -> Column:
+    """What orders versions: the extract, then the page in it, then the place on the page."""
+    return F.struct("extracted_at", "page_no", "place")
+
 
 def _days(table: DataFrame) -> set[date]:
     """The sale dates of a table: never more values than the calendar has."""
@@ -29,44 +47,41 @@ def _days(table: DataFrame) -> set[date]:
     return {row.sale_date for row in dates.collect()}
 
 
-def order_dates(orders: DataFrame, zones: DataFrame) -> set[date]:
-    """Local sale dates the orders fall on."""
-    moments = orders.select(
-        "location_id", first_present(F.col("closed_at"), F.col("created_at")).alias("sold_at")
+def newest_versions(log: DataFrame, ids: DataFrame) -> DataFrame:
+    """The newest logged version of the given ids, a row for every date it was landed on."""
+    newest = Window.partitionBy("id").orderBy(F.desc("extracted_at"), F.desc("page_no"), F.desc("place"))
+    return (
+        log.join(ids, "id", "left_semi")
+        .withColumn("_age", F.rank().over(newest))
+        .filter("_age = 1")
+        .select("id", _version().alias("known"), "sale_date")
+        .distinct()
     )
-    return _days(with_local_time(moments, zones))
-
 
-def merge_orders(
-    landed: DataFrame, orders: DataFrame, fresh: DataFrame, dates: set[date]
-) -> DataFrame:
-    """All lines of the touched dates, each order in the version extracted last.
 
-    Replacing a date by the fresh lines alone would lose the orders of earlier
-    loads. ``orders`` are the versions just read, whatever their state: one that
-    is no longer completed removes its landed lines. The closing moment of a
-    completed order does not change, so its versions share a date.
-    """
-    seen = orders.select(
-        F.col("id").alias("transaction_id"), F.col("extracted_at").alias("_seen")
-    )
-    # As literals the dates select partitions while the scan is planned.
-    touched = landed.filter(F.col("sale_date").isin(sorted(dates)))
-    staying = (
-        touched.join(seen, "transaction_id", "left")
-        .filter(F.col("_seen").isNull() | (F.col("extracted_at") > F.col("_seen")))
-        .drop("_seen")
+def newer_orders(orders: DataFrame, known: DataFrame) -> DataFrame:
+    """Orders of which no version as new has been seen, whatever batch it came in."""
+    seen = known.select("id", "known").distinct()
+    return (
+        orders.join(seen, "id", "left")
+        .filter(F.col("known").isNull() | (_version() > F.col("known")))
+        .drop("known")
     )
-    newer = staying.join(seen, "transaction_id", "left_semi").select("transaction_id").distinct()
-    return staying.unionByName(fresh.join(newer, "transaction_id", "left_anti"))
 
 
 class IncrementalLoad:
     """Loads whatever the archive holds beyond the last run, then stops.
 
-    A late order needs no watermark: it reopens its sale date. Each micro-batch
-    is staged under its number, so one that was cut off is finished from the
-    staged files when the query starts again.
+    Beside the table lie ``<table>_versions``, the versions that took effect, and
+    ``<table>_quarantine``, lines without a sale date. Each micro-batch adds a folder
+    of its own to both, which it writes anew when it is repeated. The versions decide
+    what is new, so the result does not depend on how files fall into batches, and
+    they tell which dates an order was landed on, so that one whose date moves leaves
+    the old date. A late order needs no watermark: it reopens its sale date.
+
+    A batch is staged below the run it belongs to (the id that the checkpoint gives the
+    query), so files staged by another run are never taken for its own. Staged files
+    of earlier batches are deleted when a batch begins.
     """
 
     def __init__(
@@ -78,40 +93,102 @@ class IncrementalLoad:
         catalog: DataFrame,
         zones: DataFrame,
         source: str,
+        files_per_batch: int = FILES_PER_BATCH,
     ):
         self.spark = spark
         self.archive = archive
-        self.table = table
+        self.table = table.rstrip("/")
         self.checkpoint = checkpoint
         self.catalog = catalog
         self.zones = zones
         self.source = source
+        self.files_per_batch = files_per_batch
+
+    @property
+    def versions_path(self) -> str:
+        return f"{self.table}_versions"
+
+    @property
+    def quarantine_path(self) -> str:
+        return f"{self.table}_quarantine"
+
+    def _run(self) -> str:
+        """The identity that Spark wrote into the checkpoint when the query first started."""
+        return self.spark.read.schema("id string").json(f"{self.checkpoint}/progress/metadata").first()["id"]
+
+    def _log(self, run: str, batch: int) -> DataFrame:
+        """All versions logged so far, but for those of the batch at hand if it is repeated."""
+        if not path_exists(self.spark, self.versions_path):
+            return self.spark.createDataFrame([], VERSIONS)
+        log = self.spark.read.schema(VERSIONS).parquet(self.versions_path)
+        return log.filter((F.col("run") != run) | (F.col("batch") != batch))
 
     def land(self, pages: DataFrame, batch: int) -> None:
-        orders = self._kept(latest_orders(tidy_pages(pages, "orders")), f"orders/{batch}")
+        run = self._run()
+        work = f"{self.checkpoint}/work/{run}/{batch}"
+        self._tidy(run, batch)
+        incoming = self._kept(latest_orders(tidy_pages(pages, "orders")), f"{work}/incoming")
+        known = self._kept(newest_versions(self._log(run, batch), incoming.select("id")), f"{work}/known")
+        orders = self._kept(newer_orders(incoming, known), f"{work}/orders")
+
         completed = orders.filter(F.col("state") == COMPLETED)
-        fresh, _ = split_undated(
-            flatten_orders(completed, self.catalog, self.zones, self.source)
+        lines = self._kept(flatten_orders(completed, self.catalog, self.zones, self.source), f"{work}/lines")
+        fresh, undated = split_undated(lines)
+        undated.write.mode("overwrite").parquet(f"{self.quarantine_path}/run={run}/batch={batch}")
+
+        ids = orders.select(F.col("id").alias("transaction_id"))
+        dates = _days(fresh) | _days(known.join(orders, "id", "left_semi"))
+        if dates:
+            self._replace(fresh, ids, dates, f"{work}/staged")
+        landed_on = fresh.select(F.col("transaction_id").alias("id"), "sale_date").distinct()
+        (
+            orders.select("id", "extracted_at", "page_no", "place")
+            .join(landed_on, "id", "left")
+            .write.mode("overwrite")
+            .parquet(f"{self.versions_path}/run={run}/batch={batch}")
         )
-        staging = f"{self.checkpoint}/staged/{batch}"
-        dates = order_dates(orders, self.zones)
+
+    def _replace(self, fresh: DataFrame, ids: DataFrame, dates: set[date], staging: str) -> None:
+        """Puts the fresh lines in place of all landed lines of the ids."""
         if path_exists(self.spark, self.table):
             landed = read_lines(self.spark, self.table).select(fresh.columns)
-            fresh = merge_orders(landed, orders, fresh, dates)
-        replace_dates(fresh, self.table, staging)
-        # A date whose last completed order was withdrawn has no rows to overwrite it with.
-        drop_dates(self.spark, self.table, dates - _days(read_lines(self.spark, staging)))
-
-    def _kept(self, table: DataFrame, name: str) -> DataFrame:
+            # As literals the dates select partitions while the scan is planned.
+            touched = landed.filter(F.col("sale_date").isin(sorted(dates)))
+            fresh = touched.join(ids, "transaction_id", "left_anti").unionByName(fresh)
+        replaced = replace_dates(fresh, self.table, staging)
+        # A date whose last order was withdrawn or moved has no rows to overwrite it with.
+        drop_dates(self.spark, self.table, dates - replaced)
+
+    def _kept(self, table: DataFrame, path: str) -> DataFrame:
         """The table written next to the checkpoint: several plans read it."""
-        path = f"{self.checkpoint}/{name}"
         table.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(table.schema).parquet(path)
 
+    def _tidy(self, run: str, batch: int) -> None:
+        root = f"{self.checkpoint}/work"
+        for other in set(children(self.spark, root)) - {run}:
+            delete(self.spark, f"{root}/{other}")
+        for other in set(children(self.spark, f"{root}/{run}")) - {str(batch)}:
+            delete(self.spark, f"{root}/{run}/{other}")
+
+    def quarantined(self) -> DataFrame:
+        """Lines without a sale date of the orders' newest versions."""
+        if not path_exists(self.spark, self.quarantine_path):
+            return self.spark.createDataFrame([], LANDED_LINES)
+        origin = record(run=TEXT, batch=WHOLE).fields
+        lines = self.spark.read.schema(StructType([*LANDED_LINES.fields, *origin])).parquet(self.quarantine_path)
+        log = self.spark.read.schema(VERSIONS).parquet(self.versions_path)
+        newest = log.groupBy(F.col("id").alias("transaction_id")).agg(
+            F.max_by(F.struct("run", "batch"), _version()).alias("origin")
+        )
+        return lines.join(newest.select("transaction_id", "origin.*"), ["transaction_id", "run", "batch"], "left_semi").select(
+            LANDED_LINES.names
+        )
+
     def start(self) -> StreamingQuery:
         return (
             self.spark.readStream.schema(stored(ORDER_PAGE))
-            .option("maxFilesPerTrigger", FILES_PER_BATCH)
+            .option("maxFilesPerTrigger", self.files_per_batch)
             .json(self.archive)
             .writeStream.foreachBatch(self.land)
             .option("checkpointLocation", f"{self.checkpoint}/progress")

@@ -82,7 +82,8 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sale_time": clock,
         "time_zone": F.lit(ZONES[0]),
         "category": category,
-        "item": F.col("p_name"),
+        # Part names repeat; the number tells items apart.
+        "item": F.concat(F.col("p_name"), F.lit(" "), part.cast("string")),
         "qty": quantity,
         "price_point_name": F.col("p_brand"),
         "sku": sku,
@@ -179,7 +180,9 @@ def line_documents() -> Column:
     return F.slice(lines, F.lit(1), (F.col("o_orderkey") % 4).cast("int"))
 
 
-def order_document(state: Column, closed: Column, lines: Column | None = None) -> Column:
+def order_document(
+    state: Column, closed: Column, lines: Column | None = None, created: Column | None = None
+) -> Column:
     document = F.struct(
         F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")).alias("id"),
         F.concat(F.lit("LOC-"), (F.col("o_custkey") % LOCATIONS).cast("string")).alias(
@@ -187,7 +190,7 @@ def order_document(state: Column, closed: Column, lines: Column | None = None) -
         ),
         state.alias("state"),
         closed.alias("closed_at"),
-        iso(sold_at()).alias("created_at"),
+        (iso(sold_at()) if created is None else created).alias("created_at"),
         F.struct(F.col("o_orderpriority").alias("name")).alias("source"),
         (line_documents() if lines is None else lines).alias("line_items"),
     )
@@ -221,6 +224,37 @@ def order_pages(spark: SparkSession, sf_dir: str, final: bool = True) -> DataFra
     )
 
 
+def is_undated() -> Column:
+    """Orders that the till lost the moment of."""
+    return F.col("o_orderkey") % 50 == 7
+
+
+def order_versions(spark: SparkSession, sf_dir: str, early: bool) -> DataFrame:
+    """Pages with one order each, as two extracts saw them.
+
+    The early extract holds orders that are withdrawn, that change their lines or move
+    to another day later, and open carts. The late one holds every order as it ended;
+    every third one also as the outdated cart of an earlier page, anywhere in the files.
+    """
+    key, later = F.col("o_orderkey"), iso(sold_at() + F.expr("interval 30 hours"))
+    cart = order_document(F.lit("OPEN"), F.lit(None), F.slice(line_documents(), 1, 1))
+    if early:
+        moved = order_document(F.lit("COMPLETED"), later)
+        longer = order_document(F.lit("COMPLETED"), iso(sold_at()), F.array(_line(0), _line(1), _line(2)))
+        versions = F.array(F.when(key % 4 < 2, moved).when(key % 4 == 2, longer).otherwise(cart))
+    else:
+        closed = F.when(F.col("o_orderstatus") != "O", iso(sold_at()))
+        undated = order_document(order_state(), F.lit(None), created=F.lit(None))
+        final = F.when(is_undated(), undated).otherwise(order_document(order_state(), closed))
+        versions = F.when(key % 3 == 0, F.array(cart, final)).otherwise(F.array(final))
+    seen = read(spark, sf_dir, "orders").select(key, F.posexplode(versions).alias("place", "order"))
+    return seen.repartition(4, "place", F.col("o_orderkey") % 7).select(
+        (2 * key + F.col("place")).alias("page_no"),
+        F.lit(None).cast("string").alias("cursor"),
+        F.array("order").alias("orders"),
+    )
+
+
 def locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("n_nationkey")
     zone = F.element_at(F.array(*[F.lit(z) for z in ZONES]), (key % 3 + 1).cast("int"))

@@ -72,7 +72,7 @@ SELECT CASE WHEN {TEST} THEN {QUARTER} + 40
        CASE p_partkey % 7 WHEN 0 THEN NULL WHEN 1 THEN 'None' WHEN 2 THEN lower(p_type)
             WHEN 3 THEN lower(p_type) || '_goods' WHEN 4 THEN ' ' || p_type || ' '
             ELSE p_type END AS category,
-       p_name AS item,
+       p_name || ' ' || CAST(p_partkey AS VARCHAR) AS item,
        CASE WHEN {TEST} THEN CAST(1 AS {MONEY}) ELSE CAST(l_quantity AS {MONEY}) END AS qty,
        p_brand AS price_point_name,
        CASE p_partkey % 16 WHEN 0 THEN NULL WHEN 1 THEN '  '
@@ -227,14 +227,15 @@ FROM (SELECT p.*, zone, (moment AT TIME ZONE 'UTC') AT TIME ZONE zone AS local_m
       FROM priced_line AS p JOIN zone USING (location_id)) AS l
 LEFT JOIN variation AS v USING (variation_id)""",
     "exported": """
-SELECT CAST(l_orderkey AS VARCHAR) AS transaction_id, p_name AS name,
+SELECT CAST(l_orderkey AS VARCHAR) AS transaction_id,
+       p_name || ' 12" wide,' || chr(10) || 'boxed' AS name,
        CASE WHEN p_partkey % 16 > 1 THEN 'SKU-' || CAST(p_partkey AS VARCHAR) END AS sku,
        CASE WHEN l_linenumber < 7 THEN CAST(l_quantity AS BIGINT) ELSE 1 END AS quantity,
        CASE WHEN l_linenumber <> 1 THEN p_type END AS category,
        CAST(round(l_extendedprice * 100) AS BIGINT)
          * CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END AS paid,
-       coalesce(CASE WHEN p_partkey % 16 > 1 THEN 'SKU-' || CAST(p_partkey AS VARCHAR) END, p_name)
-         AS natural_key,
+       coalesce(CASE WHEN p_partkey % 16 > 1 THEN 'SKU-' || CAST(p_partkey AS VARCHAR) END,
+                p_name || ' 12" wide,' || chr(10) || 'boxed') AS natural_key,
        row_number() OVER (
          PARTITION BY coalesce(CASE WHEN p_partkey % 16 > 1
                                THEN 'SKU-' || CAST(p_partkey AS VARCHAR) END, p_name)
@@ -454,7 +455,10 @@ CHECKS = {
         count("item_pairs_are_unordered", "pair", "item_a_key >= item_b_key"),
         count("item_pairs_are_unordered_damaged", "pair", "item_a_key <> item_b_key"),
     ),
-    "check_pair_labels": repeated("pair_labels_unique_within_event", "pair", "event_key, pair_label"),
+    "check_pair_labels": every(
+        repeated("pair_labels_unique_within_event", "pair", "event_key, pair_label"),
+        repeated("pair_labels_unique_within_event_damaged", "pair", "event_key, item_a"),
+    ),
     "check_bridge": every(
         count(
             "bridge_resolves_each_pair",
@@ -546,6 +550,10 @@ FROM exported WHERE nth = 1""",
     "pos_export_lines": """
 SELECT transaction_id, natural_key, count(*) AS lines, CAST(sum(quantity) AS BIGINT) AS quantity
 FROM exported GROUP BY transaction_id, natural_key""",
+    "export_dim_item": """
+SELECT item_key, category_key, item_natural_key, sku,
+       ' 12" ' || item_name || ', "boxed"' || chr(10) || chr(92) || ' ' AS item_name, category_name
+FROM item""",
     "export_fact_sales_line": f"""
 SELECT sale_line_key, sale_line_uid, transaction_id, item_key, sale_time, hour_of_day, channel,
        {LINE_MEASURES}, date_key
@@ -553,7 +561,12 @@ FROM line""",
     "incremental_load": """
 SELECT sale_date, count(*) AS lines, CAST(sum(qty) AS DOUBLE) AS qty,
        CAST(sum(gross - off) AS DOUBLE) / 100 AS net_sales
-FROM flat WHERE state = 'COMPLETED' GROUP BY sale_date""",
+FROM flat WHERE state = 'COMPLETED' AND CAST(substr(transaction_id, 5) AS BIGINT) % 50 <> 7
+GROUP BY sale_date""",
+    "quarantined_lines": """
+SELECT transaction_id, line_no, item, CAST(qty AS DOUBLE) AS qty,
+       CAST(gross - off AS DOUBLE) / 100 AS net_sales
+FROM flat WHERE state = 'COMPLETED' AND CAST(substr(transaction_id, 5) AS BIGINT) % 50 = 7""",
     "flatten_line_items": """
 SELECT sale_date, sale_time, time_zone, category, item, CAST(qty AS DOUBLE) AS qty,
        price_point_name, sku, CAST(gross AS DOUBLE) / 100 AS gross_sales,
@@ -760,12 +773,10 @@ SELECT event_name, item_name, convention_day, {doubles('prev_units', 'units', 'u
             WHEN unit_change < 0 THEN 'declined' ELSE 'no change' END AS direction
 FROM ({UNIT_CHANGE}) AS c WHERE day_in_event > 1""",
     "dropped_to_zero": """
-SELECT t.event_name, t.item_key, t.item_name, t.convention_day,
-       CAST(y.quantity AS DOUBLE) AS prev_units
-FROM daily AS t JOIN daily AS y
-  ON y.item_key = t.item_key AND y.event_name = t.event_name
- AND y.day_in_event = t.day_in_event - 1
-WHERE t.quantity = 0 AND y.quantity > 0""",
+SELECT event_name, item_key, item_name, convention_day, CAST(before AS DOUBLE) AS prev_units
+FROM (SELECT *, lag(quantity) OVER (PARTITION BY event_name, item_key
+                                    ORDER BY day_in_event) AS before FROM daily) AS d
+WHERE quantity = 0 AND before > 0""",
     "peak_hour": """
 SELECT event_name, convention_day, hour_of_day, transactions
 FROM (SELECT *, max(transactions) OVER (PARTITION BY event_name, convention_day) AS most

@@ -50,6 +50,7 @@ class Workspace:
         self.root = fresh_folder(spark, "star")
         self._star: Star | None = None
         self._archived: str | None = None
+        self._loaded: IncrementalLoad | None = None
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> "Workspace":
@@ -80,12 +81,39 @@ class Workspace:
             root = f"{self.root}/archive"
             store = archive.build_archive(root)
             first = mapping.order_pages(self.spark, self.sf_dir, final=False)
-            store.write("orders", first, FIRST_EXTRACT)
-            store.write("orders", mapping.order_pages(self.spark, self.sf_dir), SECOND_EXTRACT)
-            store.write("catalog", mapping.catalog_pages(self.spark, self.sf_dir), SECOND_EXTRACT)
+            written = [
+                store.write("orders", first, FIRST_EXTRACT),
+                store.write("orders", mapping.order_pages(self.spark, self.sf_dir), SECOND_EXTRACT),
+                store.write("catalog", mapping.catalog_pages(self.spark, self.sf_dir), SECOND_EXTRACT),
+            ]
+            if None in written:
+                raise OSError("the archive could not be written")
             self._archived = root
         return self._archived
 
+    @property
+    def loaded(self) -> IncrementalLoad:
+        """An early extract loaded as it came, then a later one that changes what it said."""
+        if self._loaded is None:
+            root = fresh_folder(self.spark, "bronze")
+            store = archive.build_archive(root)
+            load = IncrementalLoad(
+                self.spark,
+                f"{root}/orders",
+                fresh_folder(self.spark, "stream-table"),
+                fresh_folder(self.spark, "stream-checkpoint"),
+                pos_api.catalog_lookup(self.objects()),
+                self.zones(),
+                mapping.ENVIRONMENT,
+                files_per_batch=2,
+            )
+            for early, moment in ((True, FIRST_EXTRACT), (False, SECOND_EXTRACT)):
+                if store.write("orders", mapping.order_versions(self.spark, self.sf_dir, early), moment) is None:
+                    raise OSError("the archive could not be written")
+                load.start().awaitTermination()
+            self._loaded = load
+        return self._loaded
+
     def orders(self) -> DataFrame:
         return pos_api.latest_orders(pos_api.read_order_pages(self.spark, f"{self.archived}/orders"))
 
@@ -197,7 +225,10 @@ def _pos_export(ws: Workspace) -> DataFrame:
         .join(mapping.read(ws.spark, ws.sf_dir, "part"), F.col("l_partkey") == part)
         .select(
             *EXPORT_ORDER,
-            F.col("p_name").alias("Item"),
+            # Columns a till adds of its own, and not in the order that we read them in.
+            F.col("l_shipdate").cast("date").alias("Date"),
+            F.col("p_type").alias("Notes, \"as typed\""),
+            F.concat(F.col("p_name"), F.lit(' 12" wide,\nboxed')).alias("Item"),
             F.when(part % 16 > 1, F.concat(F.lit("SKU-"), part.cast("string"))).alias("SKU"),
             F.when(F.col("l_linenumber") < 7, F.col("l_quantity").cast("string")).alias("Qty"),
             F.when(F.col("l_returnflag") == "R", F.concat(F.lit("("), amount, F.lit(")")))
@@ -215,6 +246,7 @@ def _pos_export(ws: Workspace) -> DataFrame:
         .sortWithinPartitions(*EXPORT_ORDER)
         .drop(*EXPORT_ORDER)
         .write.option("header", True)
+        .options(**landing.CSV_TEXT)
         .csv(path)
     )
     return pos_export.read_export(ws.spark, f"{path}/*.csv")
@@ -232,29 +264,30 @@ def pos_export_lines(ws: Workspace) -> DataFrame:
     )
 
 
-def export_fact_sales_line(ws: Workspace) -> DataFrame:
+def _exported(ws: Workspace, table: DataFrame) -> DataFrame:
     path = fresh_folder(ws.spark, "star-csv")
-    lines = ws.table("fact_sales_line")
-    export.export_table(lines, path)
-    return ws.spark.read.schema(export.exportable(lines).schema).option("header", True).csv(path)
+    export.export_table(table, path)
+    files = ws.spark.read.schema(export.exportable(table).schema)
+    return files.options(header=True, **landing.CSV_TEXT).csv(path)
+
+
+def export_fact_sales_line(ws: Workspace) -> DataFrame:
+    return _exported(ws, ws.table("fact_sales_line"))
+
+
+def export_dim_item(ws: Workspace) -> DataFrame:
+    """Names with quotes, commas, line breaks and blanks at their ends."""
+    quoted = F.concat(F.lit(' 12" '), F.col("item_name"), F.lit(', "boxed"\n\\ '))
+    return _exported(ws, ws.table("dim_item").withColumn("item_name", quoted))
 
 
 def incremental_load(ws: Workspace) -> DataFrame:
-    """Both extracts loaded one after the other; the second run finds the rest."""
-    source = ws.archived
-    table = fresh_folder(ws.spark, "stream-table")
-    load = IncrementalLoad(
-        ws.spark,
-        f"{source}/orders",
-        table,
-        fresh_folder(ws.spark, "stream-checkpoint"),
-        pos_api.catalog_lookup(ws.objects()),
-        ws.zones(),
-        mapping.ENVIRONMENT,
-    )
-    for _ in range(2):
-        load.start().awaitTermination()
-    return _per_date(landing.read_lines(ws.spark, table))
+    return _per_date(landing.read_lines(ws.spark, ws.loaded.table))
+
+
+def quarantined_lines(ws: Workspace) -> DataFrame:
+    """Lines of orders without any moment, which no date replace could clear."""
+    return ws.loaded.quarantined().select("transaction_id", "line_no", "item", "qty", "net_sales")
 
 
 # --------------------------------------------------------------------------
@@ -589,7 +622,11 @@ def check_pairs_unordered(ws: Workspace) -> DataFrame:
 
 
 def check_pair_labels(ws: Workspace) -> DataFrame:
-    return checks.pair_labels_are_unique(ws.table("fact_item_pairs"))
+    pairs = ws.table("fact_item_pairs")
+    return _both(
+        checks.pair_labels_are_unique(pairs),
+        checks.pair_labels_are_unique(pairs.withColumn("pair_label", F.col("item_a"))),
+    )
 
 
 def check_bridge(ws: Workspace) -> DataFrame:
@@ -637,7 +674,9 @@ BUILT: dict[str, Callable[[Workspace], DataFrame]] = {
     "pos_export_items": pos_export_items,
     "pos_export_lines": pos_export_lines,
     "export_fact_sales_line": export_fact_sales_line,
+    "export_dim_item": export_dim_item,
     "incremental_load": incremental_load,
+    "quarantined_lines": quarantined_lines,
     # flattening and expressions
     "flatten_line_items": flatten_line_items,
     "net_sales_calc": net_sales_calc,
