@@ -32,8 +32,9 @@ LEAST_DOCS = 4
 PREFIXES = range(3, 7)
 OFFENDING = 0.5
 
-STEPS, STEP_SIZE, L2 = 300, 0.1, 1e-5
+STEPS, STEP_SIZE, L2 = 400, 0.1, 1e-5
 START = -5.0  # log odds of a sentence before anything is learned
+SHIFTS = [x / 4 for x in range(-40, 9)]  # of the bias, tried at the end
 MEMORY_WORDS = 250_000
 
 _sentences = regex.compile(r"[^.!?\n]+").finditer
@@ -107,10 +108,17 @@ def train(documents: list[tuple[float, list[list[int]]]], n_features: int) -> tu
     share = labels.mean()
     weight = np.where(labels > 0, 0.5 / share, 0.5 / max(1 - share, 1e-9)) / len(labels)
     first = second = np.zeros_like(weights)
-    for step in range(1, STEPS + 1):
-        margin = np.bincount(sentence, weights=weights[index], minlength=len(flat)) + weights[-1]
+
+    def margins(weights: np.ndarray) -> np.ndarray:
+        return np.bincount(sentence, weights=weights[index], minlength=len(flat)) + weights[-1]
+
+    def chances(margin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of every sentence to be toxic, and of every document to have none that is."""
         p = 1 / (1 + np.exp(-margin))
-        none = np.exp(np.bincount(doc, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(labels)))
+        return p, np.exp(np.bincount(doc, weights=np.log1p(-np.minimum(p, 1 - 1e-9)), minlength=len(labels)))
+
+    for step in range(1, STEPS + 1):
+        p, none = chances(margins(weights))
         # d loss / d margin: p where the document is clean, -p * none / (1 - none) where it is toxic.
         pull = np.where(labels > 0, -none / np.maximum(1 - none, 1e-9), 1.0) * weight
         slope = p * pull[doc]
@@ -119,7 +127,16 @@ def train(documents: list[tuple[float, list[list[int]]]], n_features: int) -> tu
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
         weights = weights - STEP_SIZE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    return float(weights[-1]), weights[:-1]
+
+    # Every sentence without a sign adds to a document's score, and long clean documents
+    # have very many: the bias is set last, where the loss is least.
+    final = margins(weights)
+
+    def loss(shift: float) -> float:
+        none = np.clip(chances(final + shift)[1], 1e-9, 1 - 1e-9)
+        return float(-(weight * np.where(labels > 0, np.log1p(-none), np.log(none))).sum())
+
+    return float(weights[-1] + min(SHIFTS, key=loss)), weights[:-1]
 
 
 def _sample(rows: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, label: str, bound: int) -> DataFrame:
@@ -190,7 +207,7 @@ def fit(rows: DataFrame, key: str, text: str, labels: DataFrame, label_key: str,
     taken = sample.mapInArrow(indexed, f"_key {kind}, label double, found array<array<int>>, empty long").collect()
     taken.sort(key=lambda row: (row["_key"], row["label"], row["found"]))
     bias, weights = train(
-        [(float(row["label"] > 0), [*row["found"], *([[]] if row["empty"] else [])]) for row in taken], len(index)
+        [(float(row["label"] > 0), [*row["found"], *([[]] * row["empty"])]) for row in taken], len(index)
     )
     return ToxicityModel(bias, {x: float(weights[i]) for x, i in index.items() if abs(weights[i]) > 1e-3})
 
