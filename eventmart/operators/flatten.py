@@ -67,13 +67,26 @@ def with_local_time(lines: DataFrame, zones: DataFrame) -> DataFrame:
     )
 
 
+# Lines without a reference are dealt over so many keys that no catalog has.
+SPREAD = 4_096
+
+
 def with_catalog(lines: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Adds what the catalog knows; a line it does not know is kept."""
-    return lines.join(
-        catalog.withColumnRenamed("variation_id", "_variation"),
-        F.nullif("line.catalog_object_id", F.lit("")) == F.col("_variation"),
-        "left",
-    ).drop("_variation")
+    """Adds what the catalog knows; a line it does not know is kept.
+
+    Where the join has to shuffle, NULL references would all meet in one task; they get
+    keys of their own instead, by order and line, which begin with a character that no
+    reference holds.
+    """
+    none = F.concat(
+        F.lit("\u0000"), F.pmod(F.xxhash64("transaction_id", "line_no"), F.lit(SPREAD)).cast("string")
+    )
+    reference = F.coalesce(F.nullif("line.catalog_object_id", F.lit("")), none)
+    return (
+        lines.withColumn("_reference", reference)
+        .join(catalog.withColumnRenamed("variation_id", "_variation"), F.col("_reference") == F.col("_variation"), "left")
+        .drop("_variation", "_reference")
+    )
 
 
 def flatten_orders(

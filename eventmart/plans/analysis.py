@@ -1,8 +1,8 @@
 """The numbered questions, asked of the star tables.
 
-Sales are summed to keys before a dimension joins, so joins see one row per item
-or day and a key that holds a large part of all sales is combined where it is
-read. No join here carries a broadcast hint: Spark decides from the sizes of the
+Item labels join sales that were summed to item keys, so that join sees one row an
+item, and a key that holds a large part of all sales is combined where it is read.
+Trading days, one row a date, join the lines themselves. No join here carries a broadcast hint: Spark decides from the sizes of the
 written tables and revises the choice while it runs.
 """
 

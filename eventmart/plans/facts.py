@@ -94,7 +94,7 @@ def item_daily_fact(items: DataFrame, dates: DataFrame, lines: DataFrame) -> Dat
         "category_name",
         *DAY_LABELS,
         *[F.coalesce(c, F.lit(0)).alias(c) for c in measures],
-        # A refund can bring a real row to zero, so the flag is not "quantity = 0".
+        # Sold and given back on one day sums to nothing, yet the item did trade.
         F.col("happened").alias("sold_that_day"),
     )
 

@@ -39,8 +39,7 @@ def _plain(name: str, kind: DataType) -> Column:
 class PayloadArchive:
     """Writes pages as gzipped JSON, one page per line.
 
-    Losing an archive copy is recoverable and a failed load is not, so a write
-    that fails is logged and answered with None.
+    A write that fails is logged and gives None; whoever needs the copy must ask.
     """
 
     def __init__(self, root: str):

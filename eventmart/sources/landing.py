@@ -74,6 +74,13 @@ def read_lines(spark: SparkSession, path: str, schema: StructType = LANDED_LINES
     return spark.read.schema(schema).parquet(path)
 
 
+def create_table(spark: SparkSession, path: str, schema: StructType = LANDED_LINES) -> DataFrame:
+    """An empty table of the schema, in place of whatever lay there."""
+    delete(spark, path)
+    _write(spark.createDataFrame([], schema), path, "overwrite")
+    return read_lines(spark, path, schema)
+
+
 def full_refresh(batch: DataFrame, table: str) -> bool:
     """Replace the table by the batch. An empty batch leaves the table alone.
 

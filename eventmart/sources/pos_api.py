@@ -188,12 +188,15 @@ def location_zones(locations: DataFrame) -> DataFrame:
     )
 
 
-def catalog_lookup(objects: DataFrame) -> DataFrame:
+def catalog_lookup(objects: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Variation id to item name, SKU, variation name and category name.
 
     Sales refer to a variation and carry no category. A reference that leads
-    nowhere leaves NULLs and keeps the variation.
+    nowhere leaves NULLs and keeps the variation. With ``as_of``, snapshots extracted
+    later are not seen, so that replayed orders keep the labels they had.
     """
+    if as_of is not None:
+        objects = objects.filter(F.col("extracted_at") <= _utc_literal(as_of))
     newest = _keep_last(objects, "type", "id")
     categories = newest.filter(
         (F.col("type") == "CATEGORY") & F.col("category_data").isNotNull()

@@ -33,33 +33,31 @@ def raw_table(spark, *rows):
 
 
 def test_pairs_stay_within_their_event(spark):
+    """A line listed twice, a basket of three, an idle day and the same pair at two events."""
     dates = spark.createDataFrame(
-        [("d1", "e1", "Event 1", True), ("d2", "e2", "Event 2", True),
-         ("d0", "e0", "Non-trading day", False)],
+        [("mon", "spring", "Spring fair", True), ("sat", "autumn", "Autumn fair", True), ("idle", "none", "No event", False)],
         DATES,
     )
     items = spark.createDataFrame(
-        [("a", "Alpha"), ("b", "Beta"), ("c", "Gamma")], "item_key string, item_name string"
-    )
-    lines = spark.createDataFrame(
-        [("t1", "a", "d1"), ("t1", "b", "d1"), ("t1", "b", "d1"), ("t2", "a", "d1"),
-         ("t2", "b", "d1"), ("t3", "a", "d2"), ("t3", "b", "d2"), ("t3", "c", "d2"),
-         ("t0", "a", "d0"), ("t0", "b", "d0")],
-        "transaction_id string, item_key string, date_key string",
+        [("k", "kite"), ("m", "mug"), ("s", "scarf")], "item_key string, item_name string"
     )
+    baskets = {"mon": ["kkm", "ms"], "sat": ["mk", "kms", "mk", "s"], "idle": ["km"]}
+    rows = [(f"{day}-{i}", item, day) for day, each in baskets.items() for i, held in enumerate(each) for item in held]
+    lines = spark.createDataFrame(rows, "transaction_id string, item_key string, date_key string")
     expected = {
-        ("e1", "a", "b", "Alpha  +  Beta", 2),
-        ("e2", "a", "b", "Alpha  +  Beta", 1),
-        ("e2", "a", "c", "Alpha  +  Gamma", 1),
-        ("e2", "b", "c", "Beta  +  Gamma", 1),
+        ("spring", "k", "m", "kite  +  mug", 1),
+        ("spring", "m", "s", "mug  +  scarf", 1),
+        ("autumn", "k", "m", "kite  +  mug", 3),
+        ("autumn", "k", "s", "kite  +  scarf", 1),
+        ("autumn", "m", "s", "mug  +  scarf", 1),
     }
     for block_items in (2_000, 1):
         pairs = facts.item_pairs_fact(items, dates, lines, block_items)
         got = pairs.select("event_key", "item_a_key", "item_b_key", "pair_label", "baskets").collect()
-        assert {tuple(r) for r in got} == expected and len(got) == 4
+        assert {tuple(r) for r in got} == expected and len(got) == len(expected)
         bridge = facts.pair_bridge(pairs)
-        assert bridge.count() == 8
-        assert bridge.select("pair_member_key").distinct().count() == 8
+        assert bridge.count() == 2 * len(expected)
+        assert bridge.select("pair_member_key").distinct().count() == 2 * len(expected)
 
 
 @pytest.mark.parametrize("block_items", [1, 3, 7, 1_000])
@@ -244,3 +242,47 @@ def test_label_checks_notice_a_missing_label(spark, tmp_path):
     daily = star.table("fact_item_daily").withColumn("event_name", F.lit(None).cast("string"))
     found = checks.daily_labels_match(daily, star.table("dim_item"), star.table("dim_date"))
     assert checks.failures(found) == {"item_daily_labels_match_dimensions": 6}
+
+
+def _spoiled(table, every: int, **columns):
+    """Every so many rows with other values, so that each check finds some and not all."""
+    hit = F.pmod(F.xxhash64(*table.columns), F.lit(every)) == 0
+    return table.withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in columns.items()})
+
+
+def test_checks_in_one_pass_find_what_single_checks_find(spark, tmp_path):
+    star = small_star(spark, tmp_path, *[
+        raw_line(date(2026, 4, 3 + i // 5 % 3), f"x{i // 5}", f"toy {i * 7 % 9}", str(i % 7)) for i in range(60)
+    ])
+    tables = {name: star.table(name) for name in (*checks.NOT_NULL, "stg_sales")}
+    nothing = F.lit(None).cast("string")
+    tables["fact_sales_line"] = _spoiled(
+        _spoiled(_spoiled(tables["fact_sales_line"], 3, item_key=F.lit("gone")), 4, date_key=F.lit("gone")), 5, item_key=nothing
+    )
+    tables["fact_item_daily"] = _spoiled(
+        _spoiled(_spoiled(tables["fact_item_daily"], 3, item_key=F.lit("gone")), 4, event_name=nothing), 5, date_key=nothing
+    )
+    tables["fact_item_pairs"] = _spoiled(
+        _spoiled(_spoiled(tables["fact_item_pairs"], 3, item_a_key=F.lit("gone")), 2, item_b=nothing), 4, event_key=F.lit("x")
+    )
+    sales, items, dates = tables["stg_sales"], tables["dim_item"], tables["dim_date"]
+    lines, daily, pairs = (tables[f"fact_{n}"] for n in ("sales_line", "item_daily", "item_pairs"))
+    single = {
+        "fact_sales_line": [checks.facts_have_parents(lines, items, dates), checks.events_clear_the_floor(sales, lines, dates)],
+        "fact_item_daily": [checks.daily_labels_match(daily, items, dates)],
+        "fact_item_pairs": [checks.pair_labels_match(pairs, items, dates), checks.pairs_are_unordered(pairs)],
+    }
+    for name, more in single.items():
+        wanted = {}
+        for check in (
+            *more,
+            checks.not_null(tables[name], name, checks.NOT_NULL[name]),
+            *[checks.references(tables[name], name, c, tables[p], pc) for c, p, pc in checks.REFERENCES[name]],
+        ):
+            wanted |= {r.check_name: r.violations for r in check.collect()}
+        got = {r.check_name: r.violations for r in checks.check_table(name, tables.__getitem__).collect()}
+        assert {k: got[k] for k in wanted} == wanted
+        assert any(wanted.values())
+    assert checks.failures(checks.unique(lines, "t", "item_key")) == {
+        "unique_t_item_key": len([1 for r in lines.groupBy("item_key").count().collect() if r.item_key and r["count"] > 1])
+    }

@@ -248,7 +248,7 @@ def order_versions(spark: SparkSession, sf_dir: str, early: bool) -> DataFrame:
         final = F.when(is_undated(), undated).otherwise(order_document(order_state(), closed))
         versions = F.when(key % 3 == 0, F.array(cart, final)).otherwise(F.array(final))
     seen = read(spark, sf_dir, "orders").select(key, F.posexplode(versions).alias("place", "order"))
-    return seen.repartition(4, "place", F.col("o_orderkey") % 7).select(
+    return seen.repartition(2 if early else 4, "place", F.col("o_orderkey") % 7).select(
         (2 * key + F.col("place")).alias("page_no"),
         F.lit(None).cast("string").alias("cursor"),
         F.array("order").alias("orders"),

@@ -211,7 +211,7 @@ SELECT 'VAR-' || CAST(p_partkey AS VARCHAR) AS variation_id,
        CASE WHEN p_partkey % 9 <> 8 AND p_partkey % 4 <> 3 THEN p_type END AS category_name
 FROM part""",
     "flat": """
-SELECT l.id AS transaction_id, l.line_no, l.state, CAST(l.local_moment AS DATE) AS sale_date,
+SELECT l.id AS transaction_id, l.line_no, l.state, l.moment, CAST(l.local_moment AS DATE) AS sale_date,
        strftime(l.local_moment, '%H:%M:%S') AS sale_time, l.zone AS time_zone,
        v.category_name AS category,
        coalesce(v.item_name, l.typed_name,
@@ -563,6 +563,14 @@ SELECT sale_date, count(*) AS lines, CAST(sum(qty) AS DOUBLE) AS qty,
        CAST(sum(gross - off) AS DOUBLE) / 100 AS net_sales
 FROM flat WHERE state = 'COMPLETED' AND CAST(substr(transaction_id, 5) AS BIGINT) % 50 <> 7
 GROUP BY sale_date""",
+    "window_load": """
+SELECT sale_date, count(*) AS lines, CAST(sum(gross - off) AS DOUBLE) / 100 AS net_sales
+FROM flat
+WHERE state = 'COMPLETED' AND moment >= TIMESTAMP '1995-01-02' AND moment < TIMESTAMP '1997-07-04'
+GROUP BY sale_date""",
+    "catalog_as_of": """
+SELECT variation_id, 'old ' || item_name AS item_name, sku
+FROM variation WHERE CAST(substr(variation_id, 5) AS BIGINT) % 5 <> 0""",
     "quarantined_lines": """
 SELECT transaction_id, line_no, item, CAST(qty AS DOUBLE) AS qty,
        CAST(gross - off AS DOUBLE) / 100 AS net_sales

@@ -12,7 +12,7 @@ from pyspark.sql.types import ByteType, DecimalType, IntegerType, ShortType
 
 from eventmart import functions as fn
 from eventmart.operators import flatten, islands
-from eventmart.plans import analysis, checks, dashboard, facts
+from eventmart.plans import analysis, checks, dashboard, facts, scheduled
 from eventmart.plans.star import Star
 from eventmart.session import fresh_folder
 from eventmart.sources import archive, export, landing, pos_api, pos_export
@@ -285,6 +285,48 @@ def incremental_load(ws: Workspace) -> DataFrame:
     return _per_date(landing.read_lines(ws.spark, ws.loaded.table))
 
 
+def window_load(ws: Workspace) -> DataFrame:
+    """A window that starts and ends within a day, loaded twice into a new raw table."""
+    table = fresh_folder(ws.spark, "window-table")
+    landing.create_table(ws.spark, table)
+    window = pos_api.ExtractWindow(
+        datetime(1995, 1, 2, 15, tzinfo=timezone.utc), datetime(1997, 7, 3, 9, tzinfo=timezone.utc)
+    )
+    for attempt in (1, 2):
+        scheduled.load_window(
+            ws.orders(),
+            window,
+            mapping.locations(ws.spark, ws.sf_dir),
+            pos_api.catalog_lookup(ws.objects()),
+            ws.zones(),
+            mapping.ENVIRONMENT,
+            table,
+            fresh_folder(ws.spark, f"window-staged-{attempt}"),
+            zone="UTC",
+        )
+    lines = landing.read_lines(ws.spark, table)
+    return lines.groupBy("sale_date").agg(F.count("*").alias("lines"), F.sum("net_sales").alias("net_sales"))
+
+
+def catalog_as_of(ws: Workspace) -> DataFrame:
+    """Two catalog extracts that disagree, looked up as of the first."""
+    root = fresh_folder(ws.spark, "catalog-extracts")
+    store = archive.build_archive(root)
+    new = mapping.catalog_pages(ws.spark, ws.sf_dir)
+    renamed = F.transform(
+        "objects",
+        lambda o: o.withField(
+            "item_data", F.when(o["item_data"].isNotNull(), o["item_data"].withField("name", F.concat(F.lit("old "), o["item_data"]["name"])))
+        ),
+    )
+    early = new.filter(F.col("page_no") % 5 != 0).withColumn("objects", renamed)
+    for pages, moment in ((early, FIRST_EXTRACT), (new, SECOND_EXTRACT)):
+        if store.write("catalog", pages, moment) is None:
+            raise OSError("the archive could not be written")
+    objects = pos_api.objects_in_pages(pos_api.read_catalog_pages(ws.spark, f"{root}/catalog"))
+    return pos_api.catalog_lookup(objects, as_of=FIRST_EXTRACT).select("variation_id", "item_name", "sku")
+
+
 def quarantined_lines(ws: Workspace) -> DataFrame:
     """Lines of orders without any moment, which no date replace could clear."""
     return ws.loaded.quarantined().select("transaction_id", "line_no", "item", "qty", "net_sales")
@@ -677,6 +719,8 @@ BUILT: dict[str, Callable[[Workspace], DataFrame]] = {
     "export_dim_item": export_dim_item,
     "incremental_load": incremental_load,
     "quarantined_lines": quarantined_lines,
+    "window_load": window_load,
+    "catalog_as_of": catalog_as_of,
     # flattening and expressions
     "flatten_line_items": flatten_line_items,
     "net_sales_calc": net_sales_calc,
