@@ -33,6 +33,9 @@ LONGEST_GRAM = 5
 
 # Pseudo-count of what a language was never seen with.
 SMOOTHING = 0.1
+# A word counts against a language by so much at most, so that a quotation in another
+# language weighs by its length and not by how outlandish its words are.
+MOST_AGAINST = 3.0
 MEMORY_WORDS = 200_000
 
 _words = regex.compile(r"\p{L}+").findall
@@ -62,6 +65,12 @@ class LanguageModel:
         return np.zeros(len(self.languages))
 
 
+def _relative(scores: np.ndarray) -> np.ndarray:
+    """Scores against each row's best."""
+    best = scores.max(axis=1, keepdims=True, initial=-np.inf)
+    return np.maximum(scores - best, -MOST_AGAINST) if scores.size else scores
+
+
 class _Scorer(dict):
     """Word to row of a table of scores; new words are added, all forgotten when full."""
 
@@ -74,11 +83,11 @@ class _Scorer(dict):
     def _start(self) -> None:
         self.clear()
         self.update(self._model.words)
-        self.table[: len(self)] = self._model.word_scores
+        self.table[: len(self)] = _relative(self._model.word_scores)
 
     def __missing__(self, word: str) -> int:
         at = len(self)
-        self.table[at] = self._model.new_word(word)
+        self.table[at] = _relative(self._model.new_word(word)[None, :])
         self[word] = at
         return at
 
