@@ -55,10 +55,11 @@ class LanguageModel:
     def new_word(self, word: str) -> np.ndarray:
         marked = f"<{word}>"
         for size in range(min(LONGEST_GRAM, len(marked)), 0, -1):
+            within = marked if size > 1 else word  # a mark alone says nothing
             known = [
                 at
-                for i in range(len(marked) - size + 1)
-                if (at := self.grams.get(marked[i : i + size])) is not None
+                for i in range(len(within) - size + 1)
+                if (at := self.grams.get(within[i : i + size])) is not None
             ]
             if known:
                 return self.gram_scores[known].mean(axis=0)
@@ -168,7 +169,7 @@ def fit(rows: DataFrame, key: str, text: str, lang: str, docs_per_language: int
                 )
             )
         ).alias("item"),
-    ).groupBy("lang", "item").agg(F.sum("n").alias("n"))
+    ).where(~F.col("item").isin("<", ">")).groupBy("lang", "item").agg(F.sum("n").alias("n"))
     languages = sorted(row["lang"] for row in words.select("lang").distinct().collect())
     word_rows = _most_frequent(words.where("n > 1"), WORDS_PER_LANGUAGE).collect()
     gram_rows = _most_frequent(grams, GRAMS_PER_LANGUAGE).collect()
