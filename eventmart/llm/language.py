@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from eventmart.llm.runtime import materialise, prepare
+from eventmart.llm.runtime import likely_among_lowest, materialise, prepare
 
 UNKNOWN = "und"
 # Bounds of the training sample and of the model.
@@ -134,13 +134,19 @@ def fit(rows: DataFrame, key: str, text: str, lang: str, docs_per_language: int
     ``rows`` must hold training rows only. The sample is the lowest hashes of the key.
     """
     order = Window.partitionBy("_lang").orderBy(F.xxhash64("_key"), "_key")
-    chosen = (
-        rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
-        .select(F.col(key).alias("_key"), F.col(lang).alias("_lang"))
+    keyed = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(lang).alias("_lang")
+    )
+    sizes = keyed.groupBy("_lang").agg(F.count("*").alias("_there"))
+    # Written, so that Spark knows how few they are before it deals out the texts.
+    chosen = materialise(
+        keyed.join(sizes, "_lang")
+        .where(likely_among_lowest(F.col("_key"), docs_per_language, F.col("_there")))
         .withColumn("_place", F.row_number().over(order))
         .where(F.col("_place") <= docs_per_language)
         .select("_key", "_lang")
-        .distinct()
+        .distinct(),
+        "language-sample",
     )
     sample = rows.select(F.col(key).alias("_key"), F.col(lang).alias("_lang"), F.col(text).alias("_text")).join(
         chosen, ["_key", "_lang"]

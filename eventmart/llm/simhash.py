@@ -228,6 +228,8 @@ def deduplicate(frame: DataFrame, key: str, text: str) -> DataFrame:
         .select(F.col("best.first").alias(mine), F.col("best.fp").alias(my_fp))
     )
     rows = marked.join(kept, F.col(key).eqNullSafe(F.col(mine)) & (F.col(fp) == F.col(my_fp)), "left_semi")
-    # Rows that repeat an id and a fingerprint: one stays.
+    if marked.groupBy(key, fp).agg(F.count("*").alias(place)).where(F.col(place) > 1).isEmpty():
+        return rows.drop(fp)
+    # Of rows that repeat an id and a fingerprint, one stays.
     order = Window.partitionBy(key, fp).orderBy(text)
     return rows.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place, fp)
