@@ -137,8 +137,8 @@ def fit(rows: DataFrame, key: str, text: str, lang: str, docs_per_language: int
     keyed = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).alias("_key"), F.col(lang).alias("_lang")
     )
-    sizes = keyed.groupBy("_lang").agg(F.count("*").alias("_there"))
-    # Written, so that Spark knows how few they are before it deals out the texts.
+    # Both written, so that Spark knows how few they are before it deals out keys and texts.
+    sizes = materialise(keyed.groupBy("_lang").agg(F.count("*").alias("_there")), "language-sizes")
     chosen = materialise(
         keyed.join(sizes, "_lang")
         .where(likely_among_lowest(F.col("_key"), docs_per_language, F.col("_there")))
