@@ -1,14 +1,21 @@
-"""Near duplicates of embeddings by sorted projection passes.
+"""Near duplicates of embeddings by sign buckets, dense parts in bounded blocks.
 
 Each pass hashes a vector to the signs of its projections on random directions of its
-own, strung together, and sorts by that string. Vectors are compared with their
-neighbours in a bounded window of the order, and verified pairs are united across
-passes. The number of passes follows from the number of vectors: it is what keeps the
-chance of missing a pair at the threshold below ``MISS`` when the vectors grow.
+own. Vectors that share a prefix of the signs are one bucket, and a bucket is compared as
+a whole, so a pair at the threshold is missed only if no pass gives both the same prefix.
+The number of passes follows from the length of the prefix: it keeps that chance below
+``MISS``. Verified pairs are united across passes.
+
+The prefix is as long as spreads the vectors evenly over buckets of ``SPREAD``. Where the
+data is denser, buckets are not cut: a vector that any pass puts into a bucket of more than
+``CROWDED`` is compared with all other such vectors by further passes. Their prefix is the
+one that costs least by a sample of the dense vectors' own angles (none at all means that
+all of them are compared), and their buckets are compared in blocks of bounded size. A pair
+of which one vector was never crowded has met in the first passes.
 
 Every link lies inside a component. Links are counted there, all vectors of a component
-against all, in blocks of bounded size that return counts and no pairs; so the windows
-bound the search and cut no count short. Equal vectors are one node from the start.
+against all, in blocks of bounded size that return counts and no pairs; so the search
+cuts no count short. Equal vectors are one node from the start.
 
 Defined results: vectors that are null, empty or zero, or hold null or non-finite
 components, link with nothing and are their own component. Vectors of unequal lengths
@@ -21,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,23 +39,54 @@ from eventmart.llm.components import components
 from eventmart.llm.runtime import materialise, prepare, run_bounds, runs
 
 THRESHOLD = 0.95
-WINDOW = 256
-ROWS_PER_RANGE = 8_192
+# Vectors a bucket of the first passes would hold if they were spread evenly, and from
+# where on it counts as dense.
+SPREAD = 256
+CROWDED = 1_024
 MISS = 1e-4
 KEY_BITS = 64
 PASSES_AT_ONCE = 6
 BLOCK = 512
+# Vectors a block of a dense bucket holds, those sampled to choose the prefix of dense
+# passes, and the comparisons that cost as much as moving a vector once.
+DENSE_BLOCK = 4_096
+SAMPLE = 1_024
+MOVE = 2_048
 
 
-def passes_needed(vectors: int, threshold: float = THRESHOLD) -> int:
+def prefix_signs(vectors: int) -> int:
+    """Signs that spread the vectors over buckets of ``SPREAD``, if they lie evenly."""
+    return max(1, math.ceil(math.log2(max(2, vectors / SPREAD))))
+
+
+def passes_needed(signs: int, threshold: float = THRESHOLD) -> int:
     """Passes after which a pair at the threshold was missed with a chance below ``MISS``.
 
     Two vectors at an angle share a sign with the chance 1 - angle / pi, and meet in a
-    window if they share as many leading signs as divide the vectors into windows.
+    pass if they share all signs of the prefix.
     """
-    signs = max(1, math.ceil(math.log2(max(2, vectors / WINDOW))))
-    meet = (1 - math.acos(min(1.0, threshold)) / math.pi) ** signs
-    return max(2, math.ceil(math.log(MISS) / math.log1p(-meet)))
+    meet = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** signs
+    if meet >= 1:
+        return 1
+    return math.ceil(math.log(MISS) / math.log1p(-meet)) if meet > 0 else 1 << 62
+
+
+def dense_signs(units: list[np.ndarray], vectors: int, threshold: float = THRESHOLD) -> int:
+    """The prefix with which passes over ``vectors`` like the sampled ones cost least."""
+    sizes = np.array([len(u) for u in units])
+    shared = []  # the chance to share a sign, of pairs of equal lengths; others never meet
+    for size in np.unique(sizes):
+        matrix = np.array([u for u in units if len(u) == size])
+        upper = np.triu_indices(len(matrix), 1)
+        shared.append(1 - np.arccos(np.clip(matrix @ matrix.T, -1, 1)[upper]) / math.pi)
+    shared = np.concatenate(shared)
+    pairs = max(1, len(units) * (len(units) - 1) // 2)
+
+    def cost(signs: int) -> float:
+        met = vectors * (shared**signs).sum() / pairs
+        return passes_needed(signs, threshold) * (met + MOVE)
+
+    return min(range(KEY_BITS + 1), key=cost)
 
 
 def directions(number: int, dimensions: int) -> np.ndarray:
@@ -86,74 +125,140 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype="<f8").reshape(len(column), -1)
 
 
-def _keyed(nodes: DataFrame, numbers: range) -> DataFrame:
-    """Every vector once a pass with its sort key: length of the vector, then the signs."""
+def _keyed(nodes: DataFrame, numbers: range, signs: int, units: bool = True) -> DataFrame:
+    """Every vector once a pass with its bucket: pass, length of the vector, first signs."""
+    names = ["bucket", "node", "unit"] if units else ["bucket", "node"]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = np.array([len(x) for x in batch.column("unit").to_pylist()])
             for size in np.unique(sizes):
                 part = batch.take(pa.array(np.flatnonzero(sizes == size)))
-                units = _matrix(part.column("unit"))
+                matrix = _matrix(part.column("unit"))
                 for number in numbers:
-                    signs = np.packbits(units @ directions(number, units.shape[1]) > 0, axis=1)
+                    prefix = np.packbits(matrix @ directions(number, matrix.shape[1])[:, :signs] > 0, axis=1)
                     head = number.to_bytes(4, "big") + int(size).to_bytes(4, "big")
-                    keys = [head + row.tobytes() for row in signs]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys, pa.binary()), part.column("node"), part.column("unit")], names=["order", "node", "unit"]
-                    )
+                    keys = [head + row.tobytes() for row in prefix]
+                    columns = [pa.array(keys, pa.binary()), part.column("node"), part.column("unit")]
+                    yield pa.RecordBatch.from_arrays(columns[: len(names)], names=names)
 
-    return nodes.select("node", "unit").mapInArrow(hashed, "order binary, node binary, unit binary")
+    schema = ", ".join(f"{name} binary" for name in names)
+    return nodes.select("node", "unit").mapInArrow(hashed, schema)
 
 
-def window_links(nodes: list[bytes], units: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[bytes, bytes]]:
-    """Links from neighbours in order: each vector with the first of those it reaches in its window."""
+def star_links(nodes: list[bytes], near: np.ndarray) -> list[tuple[bytes, bytes]]:
+    """Links whose components are those of the square ``near``: each node with the first of its own."""
     links = []
-    for start in range(0, len(nodes), WINDOW):
-        own, other = slice(start, start + WINDOW), slice(start, start + 2 * WINDOW)
-        near = units[own] @ units[other].T >= threshold
-        here = np.arange(near.shape[0])
-        near[here, here] = False
-        if not near.any():
+    left = near.any(axis=1)
+    for first in np.flatnonzero(left):
+        if not left[first]:
             continue
-        square = np.zeros((near.shape[1],) * 2, dtype=bool)
-        square[: near.shape[0]] = near
-        square |= square.T
-        square |= np.eye(len(square), dtype=bool)
-        root = np.arange(len(square))
-        while True:
-            lower = np.where(square, root[None, :], len(root)).min(axis=1)
-            if (lower == root).all():
-                break
-            root = lower
-        links += [(nodes[start + i], nodes[start + root[i]]) for i in np.flatnonzero(root != np.arange(len(root)))]
+        left[first] = False
+        reached = np.array([first])
+        while len(reached):
+            reached = np.flatnonzero(near[reached].any(axis=0) & left)
+            left[reached] = False
+            links += [(nodes[first], nodes[i]) for i in reached]
     return links
 
 
-def _links(keyed: DataFrame, rows: int, threshold: float) -> DataFrame:
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]  # one range: ROWS_PER_RANGE rows or so
-        if not held:
-            return
-        table = pa.Table.from_batches(held)
-        heads = [x[:8] for x in table.column("order").to_pylist()]
-        nodes = table.column("node").to_pylist()
-        units = table.column("unit").to_pylist()
-        start = 0
-        while start < len(heads):
-            end = start
-            while end < len(heads) and heads[end] == heads[start]:
-                end += 1
-            matrix = np.frombuffer(b"".join(units[start:end]), dtype="<f8").reshape(end - start, -1)
-            found = window_links(nodes[start:end], matrix, threshold)
+def _near(units: np.ndarray, across: int, threshold: float) -> np.ndarray:
+    """Which vectors are linked; with ``across``, only those before that place with those after."""
+    near = np.zeros((len(units),) * 2, dtype=bool)
+    for start in range(0, across or len(units), BLOCK):
+        rows = slice(start, min(start + BLOCK, across or len(units)))
+        near[rows, across:] = units[rows] @ units[across:].T >= threshold
+    if across:
+        near[across:, :across] = near[:across, across:].T
+    else:
+        near |= near.T
+        np.fill_diagonal(near, False)
+    return near
+
+
+def _linked(cells: DataFrame, threshold: float) -> DataFrame:
+    """Links ``a``, ``b`` inside each ``cell`` (binary), or across its two halves (``block``)."""
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, "cell"):
+            bounds = run_bounds(table.column("cell").to_numpy())
+            blocks = table.column("block").to_numpy()
+            nodes, units = table.column("node").to_pylist(), table.column("unit").to_pylist()
+            found = []
+            for start, end in zip(bounds[:-1], bounds[1:]):
+                if end - start < 2:
+                    continue
+                across = np.flatnonzero(blocks[start:end] != blocks[start])
+                matrix = np.frombuffer(b"".join(units[start:end]), dtype="<f8").reshape(end - start, -1)
+                found += star_links(nodes[start:end], _near(matrix, int(across[0]) if len(across) else 0, threshold))
             yield pa.RecordBatch.from_pydict(
                 {"a": pa.array([a for a, _ in found], pa.binary()), "b": pa.array([b for _, b in found], pa.binary())}
             )
-            start = end
 
-    ranges = max(1, -(-rows // ROWS_PER_RANGE))
-    ordered = keyed.repartitionByRange(ranges, "order", "node").sortWithinPartitions("order", "node")
-    return ordered.mapInArrow(compared, "a binary, b binary").distinct()
+    dealt = cells.repartition("cell").sortWithinPartitions("cell", "block")
+    return dealt.select("cell", "block", "node", "unit").mapInArrow(linked, "a binary, b binary").distinct()
+
+
+def _above(keyed: DataFrame, bound: int) -> DataFrame:
+    """The buckets that hold more than ``bound`` vectors, with their number."""
+    sizes = keyed.groupBy("bucket").agg(F.count("*").alias("held")).where(F.col("held") > bound)
+    return materialise(sizes, "vector-buckets")
+
+
+def _spread_links(nodes: DataFrame, numbers: range, signs: int, threshold: float) -> tuple[DataFrame, DataFrame | None]:
+    """Links inside all buckets that are not crowded, and the nodes of those that are."""
+    marked = _keyed(nodes, numbers, signs, units=False)
+    crowded = _above(marked, CROWDED).select("bucket")
+    keyed = _keyed(nodes, numbers, signs)
+    some = not crowded.isEmpty()
+    if some:
+        keyed = keyed.join(crowded, "bucket", "left_anti")
+    links = materialise(_linked(keyed.withColumn("cell", F.col("bucket")).withColumn("block", F.lit(0)), threshold), "vector-links")
+    return links, marked.join(crowded, "bucket", "left_semi").select("node") if some else None
+
+
+def _dense_links(nodes: DataFrame, numbers: range, signs: int, threshold: float) -> DataFrame:
+    """Links inside all buckets, however many vectors one holds, from blocks of bounded size."""
+    large = _above(_keyed(nodes, numbers, signs, units=False), DENSE_BLOCK)
+    blocks = large.select("bucket", F.ceil(F.col("held") / DENSE_BLOCK).cast("int").alias("blocks"))
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    cells = (
+        _keyed(nodes, numbers, signs)
+        .join(blocks, "bucket", "left")
+        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        .withColumn("block", mine)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn(
+            "cell",
+            F.concat(
+                "bucket", F.encode(F.concat_ws("-", F.least("block", "other"), F.greatest("block", "other")), "utf-8")
+            ),
+        )
+    )
+    return materialise(_linked(cells, threshold), "vector-links")
+
+
+def _links(nodes: DataFrame, threshold: float) -> DataFrame:
+    """Links whose components are those of all links, but for the chance ``MISS`` of each."""
+    n = nodes.count()
+    signs = prefix_signs(n)
+    needed = passes_needed(signs, threshold)
+    found, crowded = [], []
+    for begin in range(0, needed, PASSES_AT_ONCE):
+        links, dense = _spread_links(nodes, range(begin, min(begin + PASSES_AT_ONCE, needed)), signs, threshold)
+        found.append(links)
+        if dense is not None:
+            crowded.append(materialise(dense.distinct(), "vector-crowded"))
+    if crowded:
+        members = reduce(DataFrame.unionByName, crowded).distinct()
+        dense = materialise(nodes.select("node", "unit").join(members, "node", "left_semi"), "vector-dense")
+        sample = dense.orderBy("node").limit(SAMPLE).select("unit").collect()  # digests are in no order
+        signs = dense_signs([np.frombuffer(row["unit"], dtype="<f8") for row in sample], dense.count(), threshold)
+        more = passes_needed(signs, threshold)
+        # Directions of their own: those of the first passes are spent.
+        for begin in range(needed, needed + more, PASSES_AT_ONCE):
+            found.append(_dense_links(dense, range(begin, min(begin + PASSES_AT_ONCE, needed + more)), signs, threshold))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _counted(members: DataFrame, threshold: float) -> DataFrame:
@@ -212,14 +317,7 @@ def near_duplicates(frame: DataFrame, key: str, vector: str, threshold: float =
     valid = rows.where("node is not null")
     copies = valid.groupBy("node").agg(F.count("*").alias("copies"), F.min("id").alias("first"), F.first("unit").alias("unit"))
     nodes = materialise(copies, "vector-classes")
-    n = nodes.count()
-    links = None
-    needed = passes_needed(n, threshold)
-    for begin in range(0, needed, PASSES_AT_ONCE):
-        numbers = range(begin, min(begin + PASSES_AT_ONCE, needed))
-        found = materialise(_links(_keyed(nodes, numbers), n * len(numbers), threshold), "vector-links")
-        links = found if links is None else links.unionByName(found)
-    roots = components(links, "a", "b")
+    roots = components(_links(nodes, threshold), "a", "b")
     members = materialise(nodes.join(roots, "node"), "vector-components")
     near = _counted(members, threshold)
     smallest = members.groupBy("root").agg(F.min("first").alias("smallest"))

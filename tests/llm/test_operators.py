@@ -253,6 +253,51 @@ def test_embeddings_of_nothing_and_without_ids(spark):
         (0, 0, 0), (0, 3, 2), (0, 3, 2), (2, 3, 2), (2, 3, 2)]
 
 
+def test_links_in_a_hot_cone_are_brute_force(spark):
+    chance = np.random.default_rng(7)
+    axis = np.eye(64)[0]
+    aside = chance.standard_normal((50_000, 64)) * (np.arange(64) > 0)
+    aside /= np.linalg.norm(aside, axis=1)[:, None]
+    vectors = np.concatenate([np.sqrt(0.9) * axis + np.sqrt(0.1) * aside, chance.standard_normal((3_000, 64))])
+    units = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    pairs = []
+    for start in range(0, len(units), 2_000):
+        a, b = np.nonzero(units[start : start + 2_000] @ units.T >= embeddings.THRESHOLD)
+        pairs += [(int(i) + start, int(j)) for i, j in zip(a, b) if i + start < j]
+    degree = np.bincount(np.array(pairs).ravel(), minlength=len(units))
+    wanted = dict(enumerate(zip(degree.tolist(), brute.united(len(units), pairs))))
+    table = frame(spark, list(enumerate(vectors.tolist())), "vec_id long, embedding array<double>")
+    found = embeddings.near_duplicates(table, "vec_id", "embedding").collect()
+    assert len(pairs) > 10_000
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == wanted
+
+
+def test_dense_passes_meet_whole_buckets_in_blocks(spark, monkeypatch):
+    chance = np.random.default_rng(8)
+    topics = chance.standard_normal((5, 16))
+    rows = [(i, (topics[i % 5] + 0.3 * chance.standard_normal(16)).tolist()) for i in range(600)]
+    links = brute.vector_links([v for _, v in rows])
+    roots = brute.united(len(rows), links)
+    degree = np.bincount([x for link in links for x in link], minlength=len(rows))
+    wanted = {i: (int(degree[i]), roots[i]) for i, _ in rows}
+    monkeypatch.setattr(embeddings, "CROWDED", 3)
+    monkeypatch.setattr(embeddings, "DENSE_BLOCK", 20)
+    for signs in (0, 4):
+        monkeypatch.setattr(embeddings, "dense_signs", lambda *_: signs)
+        found = embeddings.near_duplicates(frame(spark, rows, "vec_id long, embedding array<double>"), "vec_id", "embedding")
+        assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found.collect()} == wanted
+
+
+def test_dense_prefix_follows_the_sample():
+    chance = np.random.default_rng(9)
+    topics = np.repeat(chance.standard_normal((200, 64)), 5, axis=0)
+    units = [v / np.linalg.norm(v) for v in topics + 0.3 * chance.standard_normal(topics.shape)]
+    one = [v / np.linalg.norm(v) for v in topics[0] + 0.3 * chance.standard_normal(topics.shape)]
+    assert embeddings.dense_signs(one, 20_000) == 0
+    assert embeddings.dense_signs(units, 2_000_000) > 0
+    assert embeddings.passes_needed(0) == 1
+
+
 # Packing
 
 
