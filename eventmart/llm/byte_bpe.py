@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import struct
 from functools import lru_cache
 
 from eventmart.llm.pretokens import TextEncoder
@@ -47,6 +48,31 @@ def text_encoder(path: str) -> TextEncoder:
     return TextEncoder(encode_pretoken)
 
 
+class DocumentEncoder:
+    """Whole texts as the library encodes them, with the vocabulary's added tokens.
+
+    A text that holds the string of an added token goes through the library as a whole.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self._plain = text_encoder(path).encode
+        self._library = Tokenizer.from_file(path)
+        self._added = [token.content for token in self._library.get_added_tokens_decoder().values()]
+
+    def encode(self, text: str | None) -> bytes:
+        if text and any(content in text for content in self._added):
+            ids = self._library.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+        return self._plain(text)
+
+
+@lru_cache(maxsize=2)
+def document_encoder(path: str) -> DocumentEncoder:
+    return DocumentEncoder(path)
+
+
 @lru_cache(maxsize=2)
 def vocabulary_size(path: str) -> int:
     from tokenizers import Tokenizer

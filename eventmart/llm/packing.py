@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from eventmart.llm.byte_bpe import text_encoder, vocabulary_path
+from eventmart.llm.byte_bpe import document_encoder, vocabulary_path
 from eventmart.llm.runtime import materialise, prepare, slices
 
 CAPACITY, END = 1_024, 2
@@ -52,7 +52,7 @@ def pieces(frame: DataFrame, key: str, text: str, capacity: int = CAPACITY, end_
     tail = int(end_id).to_bytes(4, "little")
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_encoder(vocabulary_path())
+        encoder = document_encoder(vocabulary_path())
         for batch in slices(batches):
             rows = []
             for at, text in enumerate(batch.column(1).to_pylist()):

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventmart.llm.byte_bpe import text_encoder, vocabulary_path, vocabulary_size
+from eventmart.llm.byte_bpe import document_encoder, vocabulary_path, vocabulary_size
 from eventmart.llm.runtime import first_by_hash, materialise, prepare, slices
 
 END = 0
@@ -155,7 +155,7 @@ def sample_format(frame: DataFrame, key: str, text: str) -> Format:
     width = 2 if vocabulary_size(vocabulary_path()) <= 1 << 16 else 4
 
     def serialized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_encoder(vocabulary_path())
+        encoder = document_encoder(vocabulary_path())
         for batch in slices(batches):
             whole = [serialize(encoder.encode(x), width) for x in batch.column(0).to_pylist()]
             found = [x[i : i + SAMPLE_BYTES] for x in whole for i in range(0, len(x), SAMPLE_BYTES)]
@@ -173,7 +173,7 @@ def write(frame: DataFrame, key: str, text: str, root: str, form: Format, end_id
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         shard, attempt = context.partitionId(), context.taskAttemptId()
-        encoder = text_encoder(vocabulary_path())
+        encoder = document_encoder(vocabulary_path())
         writer, part, done = None, 0, []
 
         def close() -> None:

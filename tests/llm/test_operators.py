@@ -160,6 +160,25 @@ def test_shards_of_a_trained_dictionary_with_repeats_and_nulls(spark):
     assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(ordered, ordered[1:]))
 
 
+MARKED = ["a <|endoftext|> b", "<|endoftext|>", "x\n<|endoftext|><|endoftext|> y  ", "<|endoftext| >", "<|endoftext|>é" * 300]
+
+
+def test_added_tokens_inside_texts_are_those_of_the_library(spark):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    table = frame(spark, list(enumerate(MARKED)))
+    wanted = [library.encode(text, add_special_tokens=False).ids for text in MARKED]
+    assert wanted[0] == [64, 220, 50256, 275]
+    manifest, root, form = shards(spark, table)
+    start = 0
+    for row, ids in zip(sorted(token_shards.read(manifest, root, form).collect()), wanted):
+        assert (row["start"], row["n_tokens"], row["ids_crc32"]) == (start, len(ids) + 1, brute.crc32_of([*ids, 0]))
+        start += len(ids) + 1
+    for row in packing.pack(table, "doc_id", "text", capacity=64).collect():
+        ids = [*wanted[row["doc_id"]], 2]
+        assert row["ids_crc32"] == brute.crc32_of(ids[row["start"] : row["start"] + row["length"]])
+    assert packing.pieces(table, "doc_id", "text").groupBy().sum("length").first()[0] == start
+
+
 def test_no_documents_make_no_shards(spark):
     manifest, root, form = shards(spark, empty(spark))
     assert manifest.collect() == [] and token_shards.read(manifest, root, form).collect() == []
