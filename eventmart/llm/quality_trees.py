@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from eventmart.llm.runtime import first_by_hash, prepare
+from eventmart.llm.runtime import first_by_hash, one_a_key, prepare
 
 # Bound of the training sample.
 TRAINING_ROWS = 16_000
@@ -197,7 +197,7 @@ def _statistics_of(texts: pa.Array) -> np.ndarray:
 
 
 def fit(rows: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, label: str, bound: int = TRAINING_ROWS) -> Forest:
-    """Trains on at most ``bound`` labelled documents, those with the lowest key hashes."""
+    """Trains on at most ``bound`` labelled documents, those with the lowest key hashes, one a key."""
     prepare(rows.sparkSession)
     known = (
         labels.where(F.col(label).isNotNull() & F.col(label_key).isNotNull())
@@ -205,8 +205,12 @@ def fit(rows: DataFrame, key: str, text: str, labels: DataFrame, label_key: str,
         .agg(F.max(label).cast("double").alias("_label"))
     )
     chosen = first_by_hash(known, "_key", bound)
-    joined = rows.select(F.col(key).alias("_key"), F.col(text).cast("binary").alias("_text")).join(
-        F.broadcast(chosen), "_key"  # at most ``bound`` rows of two numbers
+    joined = one_a_key(
+        rows.select(F.col(key).alias("_key"), F.col(text).cast("binary").alias("_text")).join(
+            F.broadcast(chosen), "_key"  # at most ``bound`` rows of two numbers
+        ),
+        "_key",
+        "_text",
     )
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

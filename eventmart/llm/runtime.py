@@ -55,6 +55,14 @@ def first_by_hash(keys: DataFrame, column: str, bound: int) -> DataFrame:
     return low.orderBy(F.xxhash64(column), column).limit(bound)
 
 
+def one_a_key(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """One row of every key, that with the lowest hash of its text; other columns must follow from the key."""
+    others = [c for c in rows.columns if c not in (key, text)]
+    best = F.min(F.struct(F.xxhash64(text).alias("hash"), F.col(text).alias("text"))).alias("_best")
+    found = rows.groupBy(key).agg(best, *(F.first(c).alias(c) for c in others))
+    return found.select(*(F.col("_best.text").alias(c) if c == text else F.col(c) for c in rows.columns))
+
+
 def own_columns(frame: DataFrame, *names: str) -> list[str]:
     """Names like the ones asked for that no column of ``frame`` bears, in any letter case."""
     taken = {c.lower() for c in frame.columns}

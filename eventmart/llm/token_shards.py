@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmart.llm.byte_bpe import document_encoder, vocabulary_path, vocabulary_size
-from eventmart.llm.runtime import first_by_hash, materialise, prepare, slices
+from eventmart.llm.runtime import first_by_hash, materialise, one_a_key, prepare, slices
 
 END = 0
 MAGIC = b"TOKSHRD1"
@@ -148,10 +148,15 @@ class ShardReader:
 
 
 def sample_format(frame: DataFrame, key: str, text: str) -> Format:
-    """A format whose dictionary is trained on the documents with the lowest key hashes."""
+    """A format whose dictionary is trained on the documents with the lowest key hashes, one a key."""
     prepare(frame.sparkSession)
-    chosen = first_by_hash(frame.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")), "_key", SAMPLE_DOCS)
-    texts = frame.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key")  # SAMPLE_DOCS keys
+    keys = frame.where(F.col(key).isNotNull()).select(F.col(key).alias("_key")).distinct()
+    chosen = first_by_hash(keys, "_key", SAMPLE_DOCS)
+    texts = one_a_key(
+        frame.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key"),  # SAMPLE_DOCS keys
+        "_key",
+        "_text",
+    )
     width = 2 if vocabulary_size(vocabulary_path()) <= 1 << 16 else 4
 
     def serialized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from eventmart.llm.runtime import first_by_hash, materialise, prepare
+from eventmart.llm.runtime import first_by_hash, materialise, one_a_key, prepare
 
 # Bounds of the training sample and of the model.
 TRAINING_ROWS, FEATURES = 12_000, 4_000
@@ -146,13 +146,17 @@ def _sample(rows: DataFrame, key: str, text: str, labels: DataFrame, label_key:
         .agg(F.max(label).cast("double").alias("label"))
     )
     chosen = first_by_hash(known, "_key", bound)
-    return rows.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(
-        F.broadcast(chosen), "_key"  # at most ``bound`` rows of two numbers
+    return one_a_key(
+        rows.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(
+            F.broadcast(chosen), "_key"  # at most ``bound`` rows of two numbers
+        ),
+        "_key",
+        "text",
     )
 
 
 def fit(rows: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, label: str, bound: int = TRAINING_ROWS) -> ToxicityModel:
-    """Trains on at most ``bound`` labelled documents, those with the lowest key hashes.
+    """Trains on at most ``bound`` labelled documents, those with the lowest key hashes, one a key.
 
     The features are those whose share of toxic documents differs most from the whole's.
     """

@@ -408,6 +408,19 @@ def test_toxicity_without_labels(spark, docs):
     assert toxicity.rate(empty(spark), "text", model, "found").collect() == []
 
 
+def test_samples_hold_one_row_a_key(spark, monkeypatch):
+    rows = [(7, prose(i, 30)) for i in range(300)] + [(i, prose(i, 30)) for i in range(20)]
+    table = frame(spark, rows)
+    marks = frame(spark, [(i, i % 2) for i in range(20)], "doc_id long, mark int")
+    assert toxicity._sample(table, "doc_id", "text", marks, "doc_id", "mark", 50).count() == 20
+    grown, trained = [], []
+    monkeypatch.setattr(quality_trees, "grow", lambda x, y: grown.append(len(y)))
+    quality_trees.fit(table, "doc_id", "text", marks, "doc_id", "mark")
+    monkeypatch.setattr(token_shards, "train", lambda samples: trained.append(len(samples)) or b"")
+    token_shards.sample_format(table, "doc_id", "text")
+    assert (grown, trained) == ([20], [20])
+
+
 def test_quality_trees_learn_a_rule(spark):
     rows = [(i, prose(i, 40 + i % 50) if i % 3 else "buy *** now %%% " * (5 + i % 20), int(i % 3 > 0)) for i in range(400)]
     table = frame(spark, rows, "doc_id long, text string, quality int")
