@@ -28,7 +28,12 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of every group of near duplicates."""
+    """Keeps the document with the smallest id of every group of near duplicates.
+
+    Near duplicates are those of ``op2_simhash``: SimHash over four-word shingles, at most 4
+    of 64 bits apart. That is stricter than a shingle similarity of 0.8: most such pairs
+    are further apart and both stay (README).
+    """
     return simhash.deduplicate(docs, "doc_id", "text")
 
 
