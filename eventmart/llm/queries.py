@@ -134,6 +134,32 @@ QUERIES: dict[str, Query] = {
     "op10_rank_queue_bpe": op10_rank_queue_bpe,
 }
 
-# SQL that gives the same rows. The other operators train a model, hash or pack, which SQL
-# cannot say; they are tested against brute force, a round trip or held-out labels.
-ORACLE: dict[str, str] = {}
+# SQL that gives the same rows as op3. The other operators train a model, hash or pack, which
+# SQL cannot say; they are tested against brute force, a round trip or held-out labels.
+_STOP = ", ".join(f"'{word}'" for word in sorted({x for each in quality_rules.STOP_WORDS.values() for x in each}))
+ORACLE: dict[str, str] = {
+    "op3_quality_rules": r"""
+    with docs as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+    cut as (
+      select r, doc_id, t,
+        list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') as w,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_replace(x, '[\x20\x09-\x0D]+', '', 'g') <> '') as l
+      from docs),
+    places as (select r, w, unnest(range(1, len(w) - 1)) as p from cut where len(w) >= 4),
+    windows as (select r, p, count(*) over (partition by r, w[p], w[p + 1], w[p + 2]) as n from places),
+    covered as (
+      select r, count(distinct p + k) as n from windows, (values (0), (1), (2)) as steps(k) where windows.n > 1 group by r),
+    counted as (
+      select doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+        len(regexp_extract_all(t, '[#*$%&|<>]')) as n_symbols, len(l) - len(list_distinct(l)) as n_dup_lines,
+        coalesce(covered.n, 0) as n_repeat_words, len(l) as n_lines,
+        len(list_filter(w, lambda x: lower(x) in (""" + _STOP + r"""))) as n_stop_words
+      from cut left join covered using (r)),
+    failing as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counted)
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+      not base_failed and n_words <= 1000000 and word_chars between 1.5 * n_words and 25 * n_words
+        and n_symbols / n_words <= 0.3 and case when n_lines > 0 then n_dup_lines / n_lines else 0 end <= 0.5
+        and n_stop_words / n_words >= 0.005 as kept
+    from failing
+    """
+}

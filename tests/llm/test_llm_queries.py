@@ -74,6 +74,13 @@ def test_rules(spark, documents, labels):
     assert (found.loc[good].kept | found.loc[good].base_failed).all()
 
 
+def test_rules_equal_their_sql(spark):
+    from tests.compare import differences, oracle_connection
+
+    relation = oracle_connection(SF_DIR).sql(driver.oracle_sql()["op3_quality_rules"])
+    assert differences(queries.QUERIES["op3_quality_rules"](spark, SF_DIR), relation) is None
+
+
 def test_embeddings(spark):
     found = rows_of(spark, "op6_embeddings")
     vectors = pd.read_parquet(f"{SF_DIR}/embeddings.parquet").sort_values("vec_id")
