@@ -122,3 +122,132 @@ def auc(scores, labels) -> float:
     ranks[order] = (ends - (counts - 1) / 2)[inverse]
     n = labels.sum()
     return float((ranks[labels == 1].sum() - n * (n + 1) / 2) / (n * (len(labels) - n)))
+
+
+# Conversations, phrases and passages
+
+def conversation(turns: list[tuple[int | None, str | None, str | None]]) -> dict:
+    """What op11 says of one conversation's turns (number, role, text), in input order."""
+    turns = sorted(((n, r if r is not None else " ", t if t is not None else " ") for n, r, t in turns), key=lambda x: (x[0] is not None, x[0] or 0))
+    faults, seen = [], set()
+    for _, role, text in turns:
+        visible = re.sub(r"[\x20\x09-\x0D]", "", text)
+        faults.append("blank" if not visible else "duplicate" if (role, text) in seen else "truncated" if visible[-1] not in ".!?" else None)
+        seen.add((role, text))
+    # Cheapest way to every state of the grammar after every turn, inserts relaxed until nothing changes.
+    after = {("0", "u"): "u", ("0", "s"): "s", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    best = {"0": (0, "")}
+    for i in range(len(turns) + 1):
+        for _ in range(4):
+            for state, (cost, audit) in list(best.items()):
+                for letter in "ua":
+                    to = after.get((state, letter))
+                    if to and (to not in best or (cost + 2, audit + "I") < best[to]):
+                        best[to] = cost + 2, audit + "I"
+        if i == len(turns):
+            break
+        moved: dict[str, tuple[int, str]] = {}
+        for state, (cost, audit) in best.items():
+            ways = [(state, cost + 3, "D")]
+            if faults[i] not in ("blank", "duplicate"):
+                extra = 1 if faults[i] == "truncated" else 0
+                initial = turns[i][1][:1]
+                if (state, initial) in after:
+                    ways.append((after[state, initial], cost + extra, "K"))
+                ways += [(after[state, x], cost + extra + 2, "R") for x in "ua" if (state, x) in after and x != initial]
+            for to, total, letter in ways:
+                if to not in moved or (total, audit + letter) < moved[to]:
+                    moved[to] = total, audit + letter
+        best = moved
+    cost, audit = min(best[s] for s in ("0", "a") if s in best)
+    numbers = [n for n, _, _ in turns if n is not None]
+    lines, state, waiting = [], "0", iter(turns)
+    for edit in audit:
+        role, text = ("", "") if edit == "I" else next(waiting)[1:]
+        if edit == "D":
+            continue
+        if edit in "IR":
+            role = "assistant" if state == "u" else "user"
+        state = role[:1]
+        lines.append(f"{role}:{text}")
+    pairs = zip(turns, turns[1:])
+    return {
+        "gaps": max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0,
+        **{fault: faults.count(fault) for fault in ("blank", "duplicate", "truncated")},
+        "illegal": sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in pairs),
+        "cost": cost, "audit": audit, "repaired_sha256": hashlib.sha256("\n".join(lines).encode()).hexdigest(),
+    }
+
+
+def damaged_turns(rows: list[tuple]) -> dict:
+    """op11's damage: conversation to its turns (number, role, text) in input order."""
+    found: dict = {}
+    for conv, turn, role, text in rows:
+        role, text = (" " if x is None else x for x in (role, text))
+        mine = found.setdefault(conv, [])
+        fate = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if fate == 0:
+            continue
+        text = "" if fate == 1 else re.sub("[.!?]", "", text) if fate == 2 else text
+        role = "user" if fate == 4 else role
+        mine += [(turn, role, text)] * (2 if fate == 3 else 1)
+    return found
+
+
+def collocations(rows: list[tuple[str | None, str | None]], support: int, top: int) -> list[tuple]:
+    """op12's rows for (lang, text)."""
+    counts: dict[str, dict[tuple, int]] = {}
+    for lang, text in rows:
+        mine = counts.setdefault(lang or "und" if lang is None else lang, {})
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower_ascii(text or "")):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            for size in range(1, 6):
+                for i in range(len(words) - size + 1):
+                    key = tuple(words[i : i + size])
+                    mine[key] = mine.get(key, 0) + 1
+    out = []
+    for lang, mine in counts.items():
+        n = sum(f for phrase, f in mine.items() if len(phrase) == 1)
+        wanted = {p: f for p, f in mine.items() if len(p) > 1 and f >= support}
+        inner: dict[tuple, int] = {}
+        for phrase, f in wanted.items():
+            for size in range(2, len(phrase)):
+                for i in range(len(phrase) - size + 1):
+                    key = phrase[i : i + size]
+                    inner[key] = max(inner.get(key, 0), f)
+        kept = []
+        for p, a in wanted.items():
+            if inner.get(p, 0) >= a:
+                continue
+            score, k = min((1000 * a * n // (mine[p[:k]] * mine[p[k:]]), k) for k in range(1, len(p)))
+            kept.append((-score, -a, " ".join(p).encode(), mine[p[:k]], mine[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(kept)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n, -score))
+    return sorted(out)
+
+
+_TERM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def terms(text: str | None) -> list[str]:
+    return _TERM.findall(lower_ascii(text or ""))
+
+
+def contamination(docs: list[tuple], items: list[tuple], width: int = 10) -> list[tuple]:
+    """(doc_id, n_words, n_hit, sorted item ids) of every document."""
+    windows: dict[tuple, set] = {}
+    for item, text in items:
+        w = terms(text)
+        for i in range(max(1, len(w) - width + 1) if w else 0):
+            windows.setdefault(tuple(w[i : i + width]), set()).add(item)
+    out = []
+    for doc, text in docs:
+        w = terms(text)
+        hit, named = set(), set()
+        for size in {len(x) for x in windows}:
+            for i in range(len(w) - size + 1):
+                if (found := windows.get(tuple(w[i : i + size]))) is not None:
+                    hit.update(range(i, i + size))
+                    named |= {str(x) for x in found if x is not None}
+        out.append((doc, len(w), len(hit), sorted(named)))
+    return out
