@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Iterable
 from datetime import date
 
@@ -9,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from eventmart.sources import snapshots
 from eventmart.sources.schemas import LANDED_LINES, RAW_LINES
+from eventmart.sources.snapshots import Load
 
 ROWS_PER_CSV_FILE = 1_000_000
 
@@ -59,124 +63,75 @@ def split_undated(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return lines.filter(dated), lines.filter(~dated)
 
 
-def _by_date(lines: DataFrame) -> DataFrame:
-    # Rebalancing puts a date in one file where it fits and lets AQE split a date
-    # that is too large for one task.
-    return lines.hint("rebalance", F.col("sale_date"))
+MEASURES = ["net_sales"]
 
 
-def _write(lines: DataFrame, path: str, mode: str) -> None:
-    static = lines.write.mode(mode).option("partitionOverwriteMode", "static")
-    static.partitionBy("sale_date").parquet(path)
+def _part(day: date | None) -> str:
+    return f"sale_date={'__HIVE_DEFAULT_PARTITION__' if day is None else day.isoformat()}"
 
 
-def read_lines(spark: SparkSession, path: str, schema: StructType = LANDED_LINES) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+def _days(load: Load) -> set[date]:
+    names = (name.removeprefix("sale_date=") for name in load.parts)
+    return {date.fromisoformat(name) for name in names if name != "__HIVE_DEFAULT_PARTITION__"}
 
 
-def create_table(spark: SparkSession, path: str, schema: StructType = LANDED_LINES) -> DataFrame:
-    """An empty table of the schema, in place of whatever lay there."""
-    delete(spark, path)
-    _write(spark.createDataFrame([], schema), path, "overwrite")
-    return read_lines(spark, path, schema)
+def read_lines(
+    spark: SparkSession, table: str, schema: StructType = LANDED_LINES, days: Iterable[date] | None = None
+) -> DataFrame:
+    """The lines of the newest commit, or those of the given sale dates only."""
+    return snapshots.read(spark, table, schema, only=None if days is None else [_part(day) for day in sorted(days)])
+
+
+def create_table(spark: SparkSession, table: str, schema: StructType = LANDED_LINES) -> DataFrame:
+    """An empty table, in one step, in place of whatever it held."""
+    snapshots.publish(spark, table, lambda _: {})
+    return read_lines(spark, table, schema)
 
 
 def full_refresh(batch: DataFrame, table: str) -> bool:
     """Replace the table by the batch. An empty batch leaves the table alone.
 
-    The batch is written once, into a folder beside the table, and takes the table's
-    place by renaming. A refresh that was cut off between the renames is put right by
-    ``recover``, which every refresh begins with.
+    The table's readers see all of the old rows until they see all of the new ones.
     """
-    spark, (incoming, previous) = batch.sparkSession, _beside(table)
-    recover(spark, table)
-    _write(_by_date(batch), incoming, "overwrite")
-    if spark.read.schema(batch.schema).parquet(incoming).isEmpty():
-        delete(spark, incoming)
+    spark, table = batch.sparkSession, table.rstrip("/")
+    load = snapshots.stage(batch, table, "sale_date", uuid.uuid4().hex, MEASURES)
+    if not load.parts:
+        snapshots.delete(spark, f"{table}/load={load.name}")
         return False
-    if path_exists(spark, table):
-        _rename(spark, table, previous)
-    _rename(spark, incoming, table)
-    delete(spark, previous)
+    snapshots.publish(spark, table, lambda _: {name: [load.name] for name in load.parts}, load)
     return True
 
 
-def _beside(table: str) -> tuple[str, str]:
-    return f"{table.rstrip('/')}-incoming", f"{table.rstrip('/')}-previous"
-
-
-def recover(spark: SparkSession, table: str) -> None:
-    """Finish or undo a refresh that was cut off: a whole batch wins over the old table."""
-    incoming, previous = _beside(table)
-    if not path_exists(spark, table):
-        if is_complete(spark, incoming) and path_exists(spark, previous):
-            _rename(spark, incoming, table)
-        elif path_exists(spark, previous):
-            _rename(spark, previous, table)
-    delete(spark, incoming)
-    delete(spark, previous)
-
-
-def _path(spark: SparkSession, path: str):
-    context = spark.sparkContext
-    jvm_path = context._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(context._jsc.hadoopConfiguration()), jvm_path
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    files, jvm_path = _path(spark, path)
-    files.delete(jvm_path, True)
-
-
-def _rename(spark: SparkSession, source: str, target: str) -> None:
-    files, jvm_path = _path(spark, source)
-    if not files.rename(jvm_path, _path(spark, target)[1]):
-        raise OSError(f"{source} could not be renamed to {target}")
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    files, jvm_path = _path(spark, path)
-    return files.exists(jvm_path)
-
-
-def children(spark: SparkSession, path: str) -> list[str]:
-    """Names inside a folder; none if there is no such folder."""
-    files, jvm_path = _path(spark, path)
-    return sorted(s.getPath().getName() for s in files.listStatus(jvm_path)) if files.exists(jvm_path) else []
-
-
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a write to this path was committed."""
-    return path_exists(spark, f"{path}/_SUCCESS")
-
-
-def replace_dates(batch: DataFrame, table: str, staging: str) -> set[date]:
+def replace_dates(batch: DataFrame, table: str, staging: str, also: Iterable[date] = ()) -> set[date]:
     """Replace exactly the sale dates the batch holds, which are returned; other dates stay.
 
-    The batch is written once, to ``staging``, and its dates are moved into the table
-    by renaming. A call that was cut off is finished by calling again with the same
-    staging path: a complete staged batch is used as it is, and what is still in it
-    has not been moved yet.
+    Dates of ``also`` that the batch does not hold are emptied in the same commit.
+    ``staging`` names the load: a call that was cut off is finished by calling again with the
+    same name, which takes a whole staged batch as it is, and changes nothing once
+    the load has been committed.
     """
-    spark = batch.sparkSession
-    if not is_complete(spark, staging):
-        _write(_by_date(batch), staging, "overwrite")
-    moved = f"{staging}/_moved"  # hidden from readers; keeps what the batch held
-    dates = [name for name in children(spark, staging) if name.startswith("sale_date=")]
-    files, jvm_path = _path(spark, table)
-    files.mkdirs(jvm_path)
-    for name in dates:
-        marker_files, marker = _path(spark, f"{moved}/{name}")
-        marker_files.mkdirs(marker)
-        delete(spark, f"{table}/{name}")
-        _rename(spark, f"{staging}/{name}", f"{table}/{name}")
-    return {date.fromisoformat(name.removeprefix("sale_date=")) for name in children(spark, moved)}
+    spark, table = batch.sparkSession, table.rstrip("/")
+    name = hashlib.md5(staging.encode()).hexdigest()
+    now = snapshots.current(spark, table)
+    done = now and now.load(name)
+    if done:
+        return _days(done)
+    load = snapshots.stage(batch, table, "sale_date", name, MEASURES)
+    emptied = {_part(day) for day in also}
+    if load.parts or emptied:
+
+        def change(parts: snapshots.Parts) -> snapshots.Parts:
+            left = {part: loads for part, loads in parts.items() if part not in emptied}
+            return left | {part: [name] for part in load.parts}
+
+        snapshots.publish(spark, table, change, load)
+    return _days(load)
 
 
 def drop_dates(spark: SparkSession, table: str, dates: Iterable[date]) -> None:
-    """Remove the partitions of the dates."""
-    for day in dates:
-        delete(spark, f"{table}/sale_date={day.isoformat()}")
+    """Remove the dates' lines, all in one commit."""
+    gone = {_part(day) for day in dates}
+    snapshots.publish(spark, table, lambda parts: {part: loads for part, loads in parts.items() if part not in gone})
 
 
 def replaced_view(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -191,3 +146,17 @@ def load_report(table: DataFrame) -> DataFrame:
         F.count_distinct("sale_date").alias("sale_dates"),
         F.sum("net_sales").alias("net_sales"),
     )
+
+
+def reported_loads(spark: SparkSession, table: str) -> DataFrame:
+    """Rows, dates and revenue of the table's last loads, as observed while they were written.
+
+    No line is read. A load that was staged before it was cut off has no observed numbers.
+    """
+    now = snapshots.current(spark, table)
+    rows = [
+        (number, load.name, load.rows, len(load.parts), load.sums.get("net_sales"))
+        for number, load in enumerate(now.loads if now else [], 1)
+    ]
+    found = spark.createDataFrame(rows, "number int, load string, table_rows long, sale_dates long, net_sales string")
+    return found.withColumn("net_sales", F.col("net_sales").cast("decimal(22,2)"))
