@@ -129,6 +129,11 @@ def _agreeing(starts: DataFrame, offsets: DataFrame, postings: DataFrame, slop:
     )
 
 
+def _lists(postings: DataFrame, terms: DataFrame, purpose: str) -> DataFrame:
+    """The postings of some terms, whose numbers are written so that Spark knows how few they are."""
+    return postings.join(materialise(terms.select("id").distinct(), purpose), "id", "left_semi")
+
+
 def matches(index: Index, phrases: DataFrame, slop: int = 0) -> DataFrame:
     """``row``, ``phrase``, ``start``, ``size`` and ``spread`` of all matches of the phrases.
 
@@ -138,7 +143,7 @@ def matches(index: Index, phrases: DataFrame, slop: int = 0) -> DataFrame:
     """
     ranked = materialise(_ranked(index, phrases), "phrase-terms")
     rarest = ranked.where("rank = 1")
-    starts = index.postings.join(rarest, "id").select(
+    starts = _lists(index.postings, rarest, "rarest-terms").join(rarest, "id").select(
         "row", "phrase", (F.col("place") - F.col("offset")).alias("start"), F.lit(0).alias("spread")
     )
     if not slop:
@@ -146,8 +151,7 @@ def matches(index: Index, phrases: DataFrame, slop: int = 0) -> DataFrame:
     second = ranked.where("rank = 2")
     single = starts.join(ranked.where("rank = 1 and size = 1").select("phrase"), "phrase")
     several = starts.join(second.select("phrase"), "phrase")
-    # Only the lists of second rarest terms are read here.
-    lists = index.postings.join(second.select("id").distinct(), "id", "left_semi")
+    lists = _lists(index.postings, second, "second-terms")
     pairs = materialise(_agreeing(several, second, lists, slop), "phrase-starts")
     rest = ranked.where("rank > 2")
     lists = index.postings
