@@ -76,7 +76,24 @@ def tidy_pages(stored_pages: DataFrame, content: str) -> DataFrame:
     )
 
 
-def _read_pages(spark: SparkSession, path: str, page: StructType, layout: str) -> DataFrame:
+def extracted_between(since: datetime | None, until: datetime | None) -> Column:
+    """Filter on the archive's folders: extracts from ``since`` to ``until``, both included.
+
+    Both columns are compared as the text they have in a path, so whole folders fall out while
+    the scan is planned, dates first. The names sort like the moments they stand for.
+    """
+    kept = F.lit(True)
+    for moment, inside in ((since, Column.__ge__), (until, Column.__le__)):
+        if moment is not None:
+            utc = moment.astimezone(timezone.utc)
+            kept = kept & inside(F.col("extracted_date"), F.lit(f"{utc:%Y-%m-%d}"))
+            kept = kept & inside(F.col("extracted_at"), F.lit(f"{utc:%Y%m%dT%H%M%SZ}"))
+    return kept
+
+
+def _read_pages(
+    spark: SparkSession, path: str, page: StructType, layout: str, since: datetime | None, until: datetime | None
+) -> DataFrame:
     """
     ``lines`` is what our archive writes: one page per line, so a large extract
     is many files read in parallel. ``array`` reads files that hold one JSON
@@ -85,15 +102,20 @@ def _read_pages(spark: SparkSession, path: str, page: StructType, layout: str) -
     if layout not in ("lines", "array"):
         raise ValueError(f"unknown layout {layout!r}")
     pages = spark.read.schema(stored(page)).json(path, multiLine=layout == "array")
-    return tidy_pages(pages, page.names[-1])
+    return tidy_pages(pages.filter(extracted_between(since, until)), page.names[-1])
 
 
-def read_order_pages(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
-    return _read_pages(spark, path, ORDER_PAGE, layout)
+def read_order_pages(
+    spark: SparkSession, path: str, layout: str = "lines", since: datetime | None = None, until: datetime | None = None
+) -> DataFrame:
+    """Order pages of the extracts from ``since`` to ``until``; of one extract if both are its moment."""
+    return _read_pages(spark, path, ORDER_PAGE, layout, since, until)
 
 
-def read_catalog_pages(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
-    return _read_pages(spark, path, CATALOG_PAGE, layout)
+def read_catalog_pages(
+    spark: SparkSession, path: str, layout: str = "lines", since: datetime | None = None, until: datetime | None = None
+) -> DataFrame:
+    return _read_pages(spark, path, CATALOG_PAGE, layout, since, until)
 
 
 def orders_in_pages(pages: DataFrame) -> DataFrame:

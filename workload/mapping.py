@@ -118,11 +118,13 @@ def device_name() -> Column:
 
 
 # ---------------------------------------------------------------------------
-# Orders as nested documents: one page per order of the driver's table, holding
-# the order and, for every third one, a later cart of the same customer. Lines
-# are built from the order's own columns, so no group has to be collected.
+# Orders as nested documents: one page per order, holding the order with its line items as
+# the driver's tables have them and, for every third one, an earlier cart of the same order.
+# An order with many lines is recorded as several documents, ``LINES_A_DOCUMENT`` line
+# numbers in each, so that no task collects the lines of one that holds a third of all.
 # ---------------------------------------------------------------------------
 
+LINES_A_DOCUMENT = 500
 ENVIRONMENT = "point_of_sale:archive"
 
 
@@ -143,48 +145,65 @@ def _amount(cents: Column) -> Column:
     return F.struct(cents.cast("bigint").alias("amount"), F.lit("USD").alias("currency"))
 
 
-def _line(place: int) -> Column:
-    key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    total = F.round(F.col("o_totalprice") * 100).cast("bigint")
-    cents = F.floor(total / F.lit(place + 2)).cast("bigint")
-    gross = cents if place < 2 else F.when(key % 2 == 0, cents)
-    kinds = {0: "ITEM", 1: "ITEM", 2: "CUSTOM_AMOUNT"}
-    reference = {
-        0: F.concat(F.lit("VAR-"), customer.cast("string")),
-        1: F.concat(F.lit("GONE-"), customer.cast("string")),
-        2: F.lit(""),
-    }
-    name = {
-        0: F.lit("typed at the till"),
-        1: F.when(key % 4 == 1, F.lit("loose item")).otherwise(F.lit(None)),
-        2: F.when(key % 5 == 0, F.lit("gift wrap")).otherwise(F.lit("")),
-    }
+def _line() -> Column:
+    """A row of ``lineitem`` as a line of its order's document."""
+    key, part, kind = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber") % 3
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    typed = key % 2 == 1
+    number = part.cast("string")
+    reference = F.when(kind == 0, "").when((kind == 2) & (part % 4 == 0), F.concat(F.lit("GONE-"), number))
+    loose = F.when(part % 4 == 0, F.lit("loose item"))
+    name = F.when(kind == 1, "typed at the till").when(kind == 2, loose).when(key % 5 == 0, "gift wrap").otherwise("")
     unit = F.struct(F.struct(F.lit("kg").alias("type")).alias("measurement_unit"))
     return F.struct(
-        F.concat(F.lit(f"line-{place}-"), key.cast("string")).alias("uid"),
-        name[place].cast("string").alias("name"),
-        F.when(key % 11 == 0, F.lit("")).otherwise((1 + key % 5).cast("string")).alias("quantity"),
+        F.concat_ws("-", F.lit("line"), key.cast("string"), F.col("l_linenumber").cast("string")).alias("uid"),
+        name.alias("name"),
+        F.when(part % 11 == 0, "").otherwise(F.col("l_quantity").cast("bigint").cast("string")).alias("quantity"),
         F.when(key % 6 == 0, unit).alias("quantity_unit"),
-        reference[place].alias("catalog_object_id"),
-        F.when(key % 3 == 0, F.lit("Large")).alias("variation_name"),
-        F.lit(kinds[place]).alias("item_type"),
-        _amount(gross).alias("gross_sales_money"),
-        _amount(F.when(key % 2 == 0, cents % 500)).alias("total_discount_money"),
+        reference.otherwise(F.concat(F.lit("VAR-"), number)).alias("catalog_object_id"),
+        F.when(key % 3 == 0, "Large").alias("variation_name"),
+        F.when(kind == 0, "CUSTOM_AMOUNT").otherwise("ITEM").alias("item_type"),
+        _amount(F.when(~((kind == 0) & typed), cents)).alias("gross_sales_money"),
+        _amount(F.when(~typed, cents % 500)).alias("total_discount_money"),
         _amount(cents % 97).alias("total_tax_money"),
     )
 
 
-def line_documents() -> Column:
-    """No line, or the first one, two or three of the possible lines."""
-    lines = F.array(_line(0), _line(1), _line(2))
-    return F.slice(lines, F.lit(1), (F.col("o_orderkey") % 4).cast("int"))
+# What settles the order of lines with one number.
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
+
+
+def line_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of every document, in order: l_orderkey, chunk, lines."""
+    lines = read(spark, sf_dir, "lineitem")
+    chunk = F.floor((F.col("l_linenumber") - 1) / LINES_A_DOCUMENT)
+    placed = F.collect_list(F.struct(*LINE_ORDER, _line().alias("line")))
+    return lines.groupBy("l_orderkey", chunk.alias("chunk")).agg(
+        F.transform(F.sort_array(placed), lambda x: x["line"]).alias("lines")
+    )
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for every document: the order's columns, ``chunk`` and ``lines``, empty where it has none."""
+    lines = line_documents(spark, sf_dir)
+    joined = read(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    nothing = F.array().cast(lines.schema["lines"].dataType)
+    return joined.withColumns({"chunk": F.coalesce("chunk", F.lit(0).cast("long")), "lines": F.coalesce("lines", nothing)})
+
+
+def _first_line() -> Column:
+    return F.slice("lines", 1, 1)
 
 
 def order_document(
     state: Column, closed: Column, lines: Column | None = None, created: Column | None = None
 ) -> Column:
     document = F.struct(
-        F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")).alias("id"),
+        F.concat(
+            F.lit("ORD-"),
+            F.col("o_orderkey").cast("string"),
+            F.when(F.col("chunk") > 0, F.concat(F.lit("/"), F.col("chunk").cast("string"))).otherwise(""),
+        ).alias("id"),
         F.concat(F.lit("LOC-"), (F.col("o_custkey") % LOCATIONS).cast("string")).alias(
             "location_id"
         ),
@@ -192,7 +211,7 @@ def order_document(
         closed.alias("closed_at"),
         (iso(sold_at()) if created is None else created).alias("created_at"),
         F.struct(F.col("o_orderpriority").alias("name")).alias("source"),
-        (line_documents() if lines is None else lines).alias("line_items"),
+        (F.col("lines") if lines is None else lines).alias("line_items"),
     )
     return document.cast(ORDER)
 
@@ -211,13 +230,13 @@ def order_pages(spark: SparkSession, sf_dir: str, final: bool = True) -> DataFra
     A page of the later extract lists the outdated cart first and the order
     second, as a page does when an order changes while it is being read.
     """
-    cart = order_document(F.lit("OPEN"), F.lit(None), F.slice(line_documents(), 1, 1))
+    cart = order_document(F.lit("OPEN"), F.lit(None), _first_line())
     closed = F.when(F.col("o_orderstatus") != "O", iso(sold_at()))
     settled = order_document(order_state(), closed)
     orders = F.when(F.col("o_orderkey") % 3 == 0, F.array(cart, settled)).otherwise(
         F.array(settled)
     )
-    return read(spark, sf_dir, "orders").select(
+    return _orders(spark, sf_dir).select(
         F.col("o_orderkey").alias("page_no"),
         F.lit(None).cast("string").alias("cursor"),
         (orders if final else F.array(cart)).alias("orders"),
@@ -237,17 +256,17 @@ def order_versions(spark: SparkSession, sf_dir: str, early: bool) -> DataFrame:
     every third one also as the outdated cart of an earlier page, anywhere in the files.
     """
     key, later = F.col("o_orderkey"), iso(sold_at() + F.expr("interval 30 hours"))
-    cart = order_document(F.lit("OPEN"), F.lit(None), F.slice(line_documents(), 1, 1))
+    cart = order_document(F.lit("OPEN"), F.lit(None), _first_line())
     if early:
         moved = order_document(F.lit("COMPLETED"), later)
-        longer = order_document(F.lit("COMPLETED"), iso(sold_at()), F.array(_line(0), _line(1), _line(2)))
+        longer = order_document(F.lit("COMPLETED"), iso(sold_at()), F.concat("lines", _first_line()))
         versions = F.array(F.when(key % 4 < 2, moved).when(key % 4 == 2, longer).otherwise(cart))
     else:
         closed = F.when(F.col("o_orderstatus") != "O", iso(sold_at()))
         undated = order_document(order_state(), F.lit(None), created=F.lit(None))
         final = F.when(is_undated(), undated).otherwise(order_document(order_state(), closed))
         versions = F.when(key % 3 == 0, F.array(cart, final)).otherwise(F.array(final))
-    seen = read(spark, sf_dir, "orders").select(key, F.posexplode(versions).alias("place", "order"))
+    seen = _orders(spark, sf_dir).select(key, F.posexplode(versions).alias("place", "order"))
     return seen.repartition(2 if early else 4, "place", F.col("o_orderkey") % 7).select(
         (2 * key + F.col("place")).alias("page_no"),
         F.lit(None).cast("string").alias("cursor"),

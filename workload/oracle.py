@@ -180,28 +180,33 @@ SELECT 'LOC-' || CAST(n_nationkey AS VARCHAR) AS location_id,
        CASE n_nationkey % 3 WHEN 0 THEN 'America/Los_Angeles' WHEN 1 THEN 'America/New_York'
             ELSE 'UTC' END AS zone
 FROM nation""",
+    "chunk": """
+SELECT l_orderkey, (l_linenumber - 1) // 500 AS chunk, count(*) AS n_lines FROM lineitem GROUP BY ALL""",
     "document": f"""
-SELECT *, 'ORD-' || CAST(o_orderkey AS VARCHAR) AS id,
+SELECT orders.*, coalesce(chunk, 0) AS chunk, coalesce(n_lines, 0) AS n_lines,
+       'ORD-' || CAST(o_orderkey AS VARCHAR) || CASE WHEN chunk > 0 THEN '/' || CAST(chunk AS VARCHAR) ELSE '' END AS id,
        'LOC-' || CAST(o_custkey % 25 AS VARCHAR) AS location_id,
        CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'OPEN' ELSE 'CANCELED' END
          AS state,
        {QUARTER} + CAST(day(o_orderdate) % (3 + quarter(o_orderdate) % 3) AS INTEGER)
-         + to_minutes(CAST(o_orderkey * 37 % 1440 AS INTEGER)) AS moment,
-       CAST(round(o_totalprice * 100) AS BIGINT) AS total
-FROM orders""",
+         + to_minutes(CAST(o_orderkey * 37 % 1440 AS INTEGER)) AS moment
+FROM orders LEFT JOIN chunk ON l_orderkey = o_orderkey""",
     "document_line": """
-SELECT d.*, CAST(p.place AS BIGINT) AS line_no, d.total // (p.place + 2) AS part_of_total,
-       CASE p.place WHEN 2 THEN 'CUSTOM_AMOUNT' ELSE 'ITEM' END AS item_type,
-       CASE p.place WHEN 0 THEN 'typed at the till'
-            WHEN 1 THEN CASE WHEN o_orderkey % 4 = 1 THEN 'loose item' END
+SELECT d.*, l_partkey, l_quantity, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
+       row_number() OVER (PARTITION BY d.id ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity)
+         - 1 AS line_no,
+       l_linenumber % 3 AS kind,
+       CASE l_linenumber % 3 WHEN 0 THEN 'CUSTOM_AMOUNT' ELSE 'ITEM' END AS item_type,
+       CASE l_linenumber % 3 WHEN 1 THEN 'typed at the till'
+            WHEN 2 THEN CASE WHEN l_partkey % 4 = 0 THEN 'loose item' END
             ELSE CASE WHEN o_orderkey % 5 = 0 THEN 'gift wrap' END END AS typed_name,
-       CASE p.place WHEN 0 THEN 'VAR-' || CAST(o_custkey AS VARCHAR) END AS variation_id
-FROM document AS d, (VALUES (0), (1), (2)) AS p(place)
-WHERE p.place < o_orderkey % 4""",
+       CASE WHEN l_linenumber % 3 = 1 OR (l_linenumber % 3 = 2 AND l_partkey % 4 <> 0)
+            THEN 'VAR-' || CAST(l_partkey AS VARCHAR) END AS variation_id
+FROM document AS d JOIN lineitem AS l ON l.l_orderkey = d.o_orderkey AND (l_linenumber - 1) // 500 = d.chunk""",
     "priced_line": """
-SELECT *, CASE WHEN line_no = 2 AND o_orderkey % 2 = 1 THEN 0 ELSE part_of_total END AS gross,
-       CASE WHEN o_orderkey % 2 = 0 THEN part_of_total % 500 ELSE 0 END AS off,
-       part_of_total % 97 AS due
+SELECT *, CASE WHEN kind = 0 AND o_orderkey % 2 = 1 THEN 0 ELSE cents END AS gross,
+       CASE WHEN o_orderkey % 2 = 0 THEN cents % 500 ELSE 0 END AS off,
+       cents % 97 AS due
 FROM document_line""",
     "variation": """
 SELECT 'VAR-' || CAST(p_partkey AS VARCHAR) AS variation_id,
@@ -218,7 +223,7 @@ SELECT l.id AS transaction_id, l.line_no, l.state, l.moment, CAST(l.local_moment
                 CASE l.item_type WHEN 'ITEM' THEN 'Unnamed line item'
                      ELSE 'Custom amount (unnamed)' END) AS item,
        v.item_name AS catalog_name,
-       CASE WHEN l.o_orderkey % 11 = 0 THEN 0 ELSE 1 + l.o_orderkey % 5 END AS qty,
+       CASE WHEN l.l_partkey % 11 = 0 THEN 0 ELSE CAST(l.l_quantity AS BIGINT) END AS qty,
        CASE WHEN l.o_orderkey % 3 = 0 THEN 'Large' ELSE v.variation_name END AS price_point_name,
        v.sku, l.gross, l.off, l.due, l.location_id AS location,
        CASE WHEN l.o_orderkey % 6 = 0 THEN 'kg' ELSE 'ea' END AS unit,
@@ -511,10 +516,12 @@ OTHERS = {
     "orders_replay": """
 SELECT id, state,
        CASE WHEN state <> 'OPEN' THEN strftime(moment, '%Y-%m-%dT%H:%M:%SZ') END AS closed_at,
-       o_orderkey % 4 AS lines
+       n_lines AS lines
 FROM document""",
+    "replay_one_extract": "SELECT id, 'OPEN' AS state, least(n_lines, 1) AS lines FROM document",
     "completed_orders_window": """
-SELECT o_orderkey, location_id, CAST(o_orderdate AS DATE) AS closed_on FROM document
+SELECT o_orderkey, location_id, CAST(o_orderdate AS DATE) AS closed_on
+FROM (SELECT DISTINCT o_orderkey, location_id, o_orderdate, o_orderstatus FROM document) AS d
 WHERE o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '1996-01-01'
   AND o_orderdate < TIMESTAMP '1999-01-01'""",
     "incremental_window": """
@@ -523,13 +530,13 @@ FROM events, (SELECT max(ts) AS stop FROM events) AS m
 WHERE ts >= stop - INTERVAL 24 HOURS AND ts < stop""",
     "archive_roundtrip": """
 SELECT extract_hour, location_id, state, count(*) AS documents, CAST(sum(lines) AS BIGINT) AS lines
-FROM (SELECT CAST(6 AS BIGINT) AS extract_hour, location_id, 'OPEN' AS state, least(o_orderkey % 4, 1) AS lines
+FROM (SELECT CAST(6 AS BIGINT) AS extract_hour, location_id, 'OPEN' AS state, least(n_lines, 1) AS lines
       FROM document
       UNION ALL
-      SELECT 18, location_id, 'OPEN', least(o_orderkey % 4, 1) FROM document
+      SELECT 18, location_id, 'OPEN', least(n_lines, 1) FROM document
       WHERE o_orderkey % 3 = 0
       UNION ALL
-      SELECT 18, location_id, state, o_orderkey % 4 FROM document) AS a
+      SELECT 18, location_id, state, n_lines FROM document) AS a
 GROUP BY extract_hour, location_id, state""",
     "csv_landing_roundtrip": f"""
 SELECT sale_date, sale_time, 'America/Los_Angeles' AS time_zone, category, item,
@@ -543,6 +550,12 @@ FROM raw""",
 SELECT count(*) AS table_rows, count(DISTINCT sale_date) AS sale_dates,
        CAST(sum(net_sales) * 2 AS DOUBLE) AS net_sales
 FROM raw""",
+    "observed_loads": """
+SELECT CAST(1 AS BIGINT) AS number, count(*) AS table_rows, count(DISTINCT sale_date) AS sale_dates,
+       CAST(sum(net_sales) AS DOUBLE) AS net_sales
+FROM raw
+UNION ALL
+SELECT 2, count(*), count(DISTINCT sale_date), CAST(sum(net_sales) AS DOUBLE) FROM raw WHERE quarter(sale_date) = 4""",
     "pos_export_items": """
 SELECT natural_key, name, sku, category,
        CASE WHEN paid < 0 THEN 0 ELSE paid // greatest(quantity, 1) END AS price_cents
@@ -561,7 +574,7 @@ FROM line""",
     "incremental_load": """
 SELECT sale_date, count(*) AS lines, CAST(sum(qty) AS DOUBLE) AS qty,
        CAST(sum(gross - off) AS DOUBLE) / 100 AS net_sales
-FROM flat WHERE state = 'COMPLETED' AND CAST(substr(transaction_id, 5) AS BIGINT) % 50 <> 7
+FROM flat WHERE state = 'COMPLETED' AND CAST(split_part(substr(transaction_id, 5), '/', 1) AS BIGINT) % 50 <> 7
 GROUP BY sale_date""",
     "window_load": """
 SELECT sale_date, count(*) AS lines, CAST(sum(gross - off) AS DOUBLE) / 100 AS net_sales
@@ -574,7 +587,7 @@ FROM variation WHERE CAST(substr(variation_id, 5) AS BIGINT) % 5 <> 0""",
     "quarantined_lines": """
 SELECT transaction_id, line_no, item, CAST(qty AS DOUBLE) AS qty,
        CAST(gross - off AS DOUBLE) / 100 AS net_sales
-FROM flat WHERE state = 'COMPLETED' AND CAST(substr(transaction_id, 5) AS BIGINT) % 50 = 7""",
+FROM flat WHERE state = 'COMPLETED' AND CAST(split_part(substr(transaction_id, 5), '/', 1) AS BIGINT) % 50 = 7""",
     "flatten_line_items": """
 SELECT sale_date, sale_time, time_zone, category, item, CAST(qty AS DOUBLE) AS qty,
        price_point_name, sku, CAST(gross AS DOUBLE) / 100 AS gross_sales,

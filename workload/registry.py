@@ -106,6 +106,7 @@ class Workspace:
                 self.zones(),
                 mapping.ENVIRONMENT,
                 files_per_batch=2,
+                buckets=16,
             )
             for early, moment in ((True, FIRST_EXTRACT), (False, SECOND_EXTRACT)):
                 if store.write("orders", mapping.order_versions(self.spark, self.sf_dir, early), moment) is None:
@@ -139,6 +140,14 @@ def orders_replay(ws: Workspace) -> DataFrame:
     return ws.orders().select("id", "state", "closed_at", F.size("line_items").alias("lines"))
 
 
+def replay_one_extract(ws: Workspace) -> DataFrame:
+    """The first of two extracts again: every order as the open cart that it saw."""
+    pages = pos_api.read_order_pages(
+        ws.spark, f"{ws.archived}/orders", since=FIRST_EXTRACT, until=FIRST_EXTRACT
+    )
+    return pos_api.latest_orders(pages).select("id", "state", F.size("line_items").alias("lines"))
+
+
 def completed_orders_window(ws: Workspace) -> DataFrame:
     window = pos_api.ExtractWindow(
         datetime(1996, 1, 1, tzinfo=timezone.utc), datetime(1999, 1, 1, tzinfo=timezone.utc)
@@ -210,6 +219,14 @@ def full_refresh(ws: Workspace) -> DataFrame:
     return landing.load_report(landing.read_lines(ws.spark, again))
 
 
+def observed_loads(ws: Workspace) -> DataFrame:
+    """What a refresh and a date replace tell of themselves, observed while they wrote."""
+    table = fresh_folder(ws.spark, "observed")
+    landing.full_refresh(ws.star.raw, table)
+    landing.replace_dates(ws.star.raw.filter(F.quarter("sale_date") == 4), table, "fourth quarter")
+    return landing.reported_loads(ws.spark, table).drop("load")
+
+
 EXPORT_ORDER = [
     "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity",
     "l_returnflag",
@@ -707,12 +724,14 @@ def check_quantity(ws: Workspace) -> DataFrame:
 BUILT: dict[str, Callable[[Workspace], DataFrame]] = {
     # sources and sinks
     "orders_replay": orders_replay,
+    "replay_one_extract": replay_one_extract,
     "completed_orders_window": completed_orders_window,
     "incremental_window": incremental_window,
     "archive_roundtrip": archive_roundtrip,
     "csv_landing_roundtrip": csv_landing_roundtrip,
     "idempotent_date_replace": idempotent_date_replace,
     "full_refresh": full_refresh,
+    "observed_loads": observed_loads,
     "pos_export_items": pos_export_items,
     "pos_export_lines": pos_export_lines,
     "export_fact_sales_line": export_fact_sales_line,
