@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
 import zlib
 
 import numpy as np
+import regex
 import xxhash
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -251,3 +253,57 @@ def contamination(docs: list[tuple], items: list[tuple], width: int = 10) -> lis
                     named |= {str(x) for x in found if x is not None}
         out.append((doc, len(w), len(hit), sorted(named)))
     return out
+
+
+def language_scores(rows: list[tuple], texts: list[str | None], words_kept: int, grams_kept: int, smoothing: float, most_against: float) -> list[tuple]:
+    """op9's language and score of each text, from training rows (id, lang, text) that all fit in the sample."""
+    chosen: dict[tuple, str] = {}
+    for key, lang, text in rows:
+        if None in (key, lang, text):
+            continue
+        best = chosen.get((key, lang))
+        if best is None or np.int64(np.uint64(xxhash.xxh64_intdigest(text.encode(), 42)).view(np.int64)) < np.int64(np.uint64(xxhash.xxh64_intdigest(best.encode(), 42)).view(np.int64)):
+            chosen[key, lang] = text
+    languages = sorted({lang for _, lang in chosen})
+    words: dict[str, dict[str, int]] = {lang: {} for lang in languages}
+    grams: dict[str, dict[str, int]] = {lang: {} for lang in languages}
+    for (_, lang), text in chosen.items():
+        for word in regex.findall(r"\p{L}+", text.lower()):
+            words[lang][word] = words[lang].get(word, 0) + 1
+    languages = [lang for lang in languages if words[lang]]
+    for lang in languages:
+        for word, n in words[lang].items():
+            marked = f"<{word}>"
+            for size in range(1, 6):
+                for i in range(len(marked) - size + 1):
+                    gram = marked[i : i + size]
+                    if gram not in "<>":
+                        grams[lang][gram] = grams[lang].get(gram, 0) + n
+
+    def logs(counts, bound, least):
+        kept = {item for lang in languages for item in [x for x, _ in sorted(((x, n) for x, n in counts[lang].items() if n >= least), key=lambda p: (-p[1], p[0].encode()))[:bound]]}
+        sums = [sum(counts[lang].values()) + smoothing * len(kept) for lang in languages]
+        return {item: [math.log((counts[lang].get(item, 0) + smoothing) / total) for lang, total in zip(languages, sums)] for item in kept}
+
+    known, pieces = logs(words, words_kept, 2), logs(grams, grams_kept, 1)
+    out = []
+    for text in texts:
+        found = regex.findall(r"\p{L}+", (text or "").lower())
+        total = [0.0] * len(languages)
+        for word in found:
+            scores = known.get(word)
+            for size in range(min(5, len(word) + 2), 0, -1) if scores is None else ():
+                within = f"<{word}>" if size > 1 else word
+                hits = [pieces[within[i : i + size]] for i in range(len(within) - size + 1) if within[i : i + size] in pieces]
+                if hits:
+                    scores = [sum(column) / len(hits) for column in zip(*hits)]
+                    break
+            if scores:
+                total = [t + max(s - max(scores), -most_against) for t, s in zip(total, scores)]
+        if not found or not languages:
+            out.append(("und", 0.0))
+            continue
+        best = total.index(max(total))
+        odds = [math.exp((t - total[best]) / math.sqrt(len(found))) for t in total]
+        out.append((languages[best], odds[best] / sum(odds)))
+    return out
