@@ -103,6 +103,24 @@ def item_day_heatmap(table: Tables) -> DataFrame:
     return item_day_units(table).select("event_name", "item_name", "convention_day", "units")
 
 
+def item_day_heatmap_wide(table: Tables, days: int) -> DataFrame:
+    """The heatmap as it is drawn: a row an item and event, a column for each of so many days.
+
+    With the days given, the pivot needs no pass to find them. A day that an event does not have
+    is NULL; an event of more days is an error and is not cut.
+    """
+    longest = table("dim_date").agg(F.max("day_in_event")).first()[0] or 0
+    if longest > days:
+        raise ValueError(f"an event has {longest} days, more than {days}")
+    wide = (
+        item_day_units(table)
+        .groupBy("event_name", "item_name")
+        .pivot("day_in_event", list(range(1, days + 1)))
+        .agg(F.sum("units"))
+    )
+    return wide.select("event_name", "item_name", *[F.col(str(day)).alias(f"day_{day}") for day in range(1, days + 1)])
+
+
 def velocity_dense(table: Tables) -> DataFrame:
     """Change of units against the day before, with its direction.
 

@@ -788,6 +788,20 @@ ORDER BY taken DESC, item_name LIMIT 12""",
     "item_day_heatmap": """
 SELECT event_name, item_name, convention_day, CAST(sum(quantity) AS DOUBLE) AS units
 FROM daily GROUP BY event_name, item_name, convention_day""",
+    "item_day_heatmap_wide": """
+SELECT event_name, item_name,
+       CAST(sum(quantity) FILTER (day_in_event = 1) AS DOUBLE) AS day_1,
+       CAST(sum(quantity) FILTER (day_in_event = 2) AS DOUBLE) AS day_2,
+       CAST(sum(quantity) FILTER (day_in_event = 3) AS DOUBLE) AS day_3,
+       CAST(sum(quantity) FILTER (day_in_event = 4) AS DOUBLE) AS day_4,
+       CAST(sum(quantity) FILTER (day_in_event = 5) AS DOUBLE) AS day_5
+FROM daily GROUP BY event_name, item_name""",
+    "named_tables": """
+SELECT 'raw_lines' AS table_name, count(*) AS rows, CAST(sum(net_sales) AS DOUBLE) AS net_sales FROM raw
+UNION ALL SELECT 'stg_sales', count(*), CAST(sum(net_sales) AS DOUBLE) FROM sales
+UNION ALL SELECT 'dim_item', count(*), NULL FROM item
+UNION ALL SELECT 'fact_sales_line', count(*), CAST(sum(net_sales) AS DOUBLE) FROM line
+UNION ALL SELECT 'fact_item_daily', count(*), CAST(sum(net_sales) AS DOUBLE) FROM daily""",
     "velocity_dense": f"""
 SELECT event_name, item_name, convention_day, {doubles('prev_units', 'units', 'unit_change')},
        CASE WHEN unit_change IS NULL THEN 'no prior day' WHEN unit_change > 0 THEN 'gained'
@@ -826,4 +840,6 @@ SELECT event_name, convention_day, min(hour_of_day) AS first_hour, max(hour_of_d
 FROM open_line GROUP BY event_name, convention_day""",
 }
 
+OTHERS["named_revenue_by_category"] = OTHERS["revenue_by_category"]
+
 ORACLE: dict[str, str] = {name: sql(text.strip()) for name, text in {**OTHERS, **CHECKS}.items()}

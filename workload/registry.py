@@ -15,7 +15,7 @@ from eventmart.operators import flatten, islands
 from eventmart.plans import analysis, checks, dashboard, facts, scheduled
 from eventmart.plans.star import Star
 from eventmart.session import fresh_folder
-from eventmart.sources import archive, export, landing, pos_api, pos_export
+from eventmart.sources import archive, catalog, export, landing, pos_api, pos_export
 from eventmart.streaming.incremental import IncrementalLoad
 from workload import mapping
 
@@ -49,6 +49,7 @@ class Workspace:
         self.sf_dir = sf_dir
         self.root = fresh_folder(spark, "star")
         self._star: Star | None = None
+        self._landed: str | None = None
         self._archived: str | None = None
         self._loaded: IncrementalLoad | None = None
 
@@ -62,11 +63,18 @@ class Workspace:
     @property
     def star(self) -> Star:
         if self._star is None:
-            landing.full_refresh(mapping.raw_lines(self.spark, self.sf_dir), f"{self.root}/raw")
-            raw = landing.read_lines(self.spark, f"{self.root}/raw")
+            raw = landing.read_lines(self.spark, self.landed)
             self._star = Star(self.spark, raw, self.root)
         return self._star
 
+    @property
+    def landed(self) -> str:
+        """The folder of the landed raw lines."""
+        if self._landed is None:
+            self._landed = f"{self.root}/raw"
+            landing.full_refresh(mapping.raw_lines(self.spark, self.sf_dir), self._landed)
+        return self._landed
+
     def use(self, star: Star) -> None:
         """Ask an already built star instead of building one."""
         self._star = star
@@ -557,6 +565,38 @@ def _ask(question: Callable[[analysis.Tables], DataFrame]) -> Callable[[Workspac
     return lambda ws: question(ws.table)
 
 
+# The driver's quarters open on five days at most.
+HEATMAP_DAYS = 5
+
+
+def item_day_heatmap_wide(ws: Workspace) -> DataFrame:
+    return dashboard.item_day_heatmap_wide(ws.table, HEATMAP_DAYS)
+
+
+def named_tables(ws: Workspace) -> DataFrame:
+    """The layers' tables asked by name: rows, and revenue where a table has it."""
+    names = catalog.Catalog(ws.spark, f"shop_{ws.root[-8:]}", fresh_folder(ws.spark, "catalog"))
+    names.create()
+    names.register_lines(ws.landed)
+    names.register_star(ws.star)
+    parts = [
+        f"SELECT '{table}' AS table_name, count(*) AS rows, sum({revenue}) AS net_sales FROM {names.name(table)}"
+        for table, revenue in (
+            ("raw_lines", "net_sales"), ("stg_sales", "net_sales"), ("dim_item", "cast(null as decimal(12,2))"),
+            ("fact_sales_line", "net_sales"), ("fact_item_daily", "net_sales"),
+        )
+    ]
+    return ws.spark.sql(" UNION ALL ".join(parts))
+
+
+def named_revenue_by_category(ws: Workspace) -> DataFrame:
+    """A numbered question answered from the catalog's tables."""
+    names = catalog.Catalog(ws.spark, f"asked_{ws.root[-8:]}", fresh_folder(ws.spark, "catalog"))
+    names.create()
+    names.register_star(ws.star)
+    return analysis.revenue_by_category(names.table)
+
+
 # --------------------------------------------------------------------------
 # Checks: on the star, and on the same tables deliberately damaged
 # --------------------------------------------------------------------------
@@ -789,6 +829,7 @@ BUILT: dict[str, Callable[[Workspace], DataFrame]] = {
     "revenue_index": _ask(dashboard.revenue_index),
     "item_revenue_share_top12": _ask(dashboard.item_revenue_share),
     "item_day_heatmap": _ask(dashboard.item_day_heatmap),
+    "item_day_heatmap_wide": item_day_heatmap_wide,
     "velocity_dense": _ask(dashboard.velocity_dense),
     "dropped_to_zero": _ask(dashboard.dropped_to_zero),
     "peak_hour": _ask(dashboard.peak_hour),
@@ -796,6 +837,9 @@ BUILT: dict[str, Callable[[Workspace], DataFrame]] = {
     "pairs_for_item": pairs_for_item,
     "event_filter": _ask(dashboard.units_of_latest_event),
     "trading_hours": _ask(dashboard.trading_hours),
+    # by name
+    "named_tables": named_tables,
+    "named_revenue_by_category": named_revenue_by_category,
     # checks
     "check_not_null": check_not_null,
     "check_unique": check_unique,
