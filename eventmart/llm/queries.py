@@ -76,12 +76,18 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
+def _opened(spark: SparkSession, root: str) -> tuple[DataFrame, str, token_shards.Format]:
+    manifest, form = token_shards.open_folder(spark, root)
+    return manifest, root, form
+
+
 def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     root = token_shards.make_folder(spark, fresh_folder(spark, "token-shards"))
     form = token_shards.sample_format(docs, "doc_id", "text")
-    manifest = token_shards.write(docs, "doc_id", "text", root, form)
-    return token_shards.read(manifest, root, form).withColumnRenamed("key", "doc_id")
+    token_shards.write(docs, "doc_id", "text", root, form)
+    # Read as any other session would: by what lies in the folder.
+    return token_shards.read(*_opened(spark, root)).withColumnRenamed("key", "doc_id")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,10 @@ is read without its neighbours. A shard is
 and its index is an Arrow stream of key, offset, size and n_tokens. A task writes under
 a name of its own attempt and renames at the end, so a repeated task replaces its file.
 
+The dictionary (``dictionary-<SHA-256>``), a table of the shards (``manifest``) and what else a reader
+must know (``format.json``, written last) lie beside the shards, so that anyone can
+read the folder: ``open_folder``.
+
 Defined results: a null or empty text is its end token alone. Null ids come first, repeated
 ids side by side in the order of their texts. An empty table makes no shard and no rows.
 Extra columns of the input are not written. A sample too small to train on gives an
@@ -19,6 +23,7 @@ empty dictionary.
 from __future__ import annotations
 
 import hashlib
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,12 +32,13 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyarrow.fs import FileType
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmart.llm.byte_bpe import document_encoder, vocabulary_path, vocabulary_size
-from eventmart.llm.runtime import first_by_hash, materialise, one_a_key, prepare, slices
+from eventmart.llm.runtime import first_by_hash, one_a_key, prepare, slices
 
 END = 0
 MAGIC = b"TOKSHRD1"
@@ -60,7 +66,10 @@ class Format:
         return zstandard.ZstdCompressionDict(self.dictionary) if self.dictionary else None
 
     def compressor(self) -> zstandard.ZstdCompressor:
-        return zstandard.ZstdCompressor(level=LEVEL, dict_data=self._shared(), write_content_size=True)
+        shared = self._shared()
+        if shared:
+            shared.precompute_compress(level=LEVEL)  # once, and not for every document
+        return zstandard.ZstdCompressor(level=LEVEL, dict_data=shared, write_content_size=True)
 
     def decompressor(self) -> zstandard.ZstdDecompressor:
         return zstandard.ZstdDecompressor(dict_data=self._shared())
@@ -90,6 +99,27 @@ def _open(root: str):
     return _filesystem(root)
 
 
+def rename(fs, source: str, target: str) -> None:
+    """Moves a file to its name, also where another attempt left one and the store won't replace it."""
+    if fs.get_file_info(target).type != FileType.NotFound:
+        fs.delete_file(target)
+    fs.move(source, target)
+
+
+def _put(root: str, name: str, data: bytes) -> None:
+    """A whole small file, from the driver."""
+    fs, folder = _open(root)
+    with fs.open_output_stream(f"{folder}/.{name}") as out:
+        out.write(data)
+    rename(fs, f"{folder}/.{name}", f"{folder}/{name}")
+
+
+def _get(root: str, name: str) -> bytes:
+    fs, folder = _open(root)
+    with fs.open_input_file(f"{folder}/{name}") as file:
+        return file.read()
+
+
 class ShardWriter:
     """Writes one shard file."""
 
@@ -118,7 +148,7 @@ class ShardWriter:
             stream.write_batch(index)
         self._out.write(sink.getvalue().to_pybytes() + self.size.to_bytes(8, "little") + MAGIC)
         self._out.close()
-        self._fs.move(self._hidden, self._path)
+        rename(self._fs, self._hidden, self._path)
         return len(self._index)
 
 
@@ -200,7 +230,25 @@ def write(frame: DataFrame, key: str, text: str, root: str, form: Format, end_id
         .repartitionByRange("_key")
         .sortWithinPartitions("_key", "_text")
     )
-    return materialise(ordered.mapInArrow(written, MANIFEST), "token-manifest")
+    ordered.mapInArrow(written, MANIFEST).write.mode("overwrite").parquet(f"{root}/manifest")
+    dictionary = f"dictionary-{form.digest.hex()}"
+    _put(root, dictionary, form.dictionary)
+    told = {"width": form.width, "dictionary": dictionary, "end_id": int(end_id)}
+    _put(root, "format.json", json.dumps(told).encode())
+    return _manifest(frame.sparkSession, root)
+
+
+def _manifest(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
+
+
+def open_folder(spark: SparkSession, root: str) -> tuple[DataFrame, Format]:
+    """The manifest and format of a folder of shards, from its files alone."""
+    told = json.loads(_get(root, "format.json"))
+    form = Format(told["width"], _get(root, told["dictionary"]))
+    if told["dictionary"] != f"dictionary-{form.digest.hex()}":
+        raise ValueError(f"{root} holds another dictionary than its shards were written with")
+    return _manifest(spark, root), form
 
 
 _ARROW_MANIFEST = pa.schema(

@@ -28,6 +28,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -35,9 +36,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventmart.llm.runtime import materialise, own_columns, prepare, slices
+from eventmart.llm.token_shards import rename
 
 VERSION = b"WARC/1.1"
-SEGMENT_BYTES = 64 << 10
+# Blocks above this are segmented; a good part of real pages is.
+SEGMENT_BYTES = 4 << 10
 CHUNK_BYTES = 8 << 10
 ARCHIVE_BYTES = 256 << 20
 LEVEL = 1
@@ -136,13 +139,18 @@ def _uri(url: str | None) -> str:
     return "".join((url or "about:blank").split()) or "about:blank"
 
 
+def _quoted(page_id) -> str:
+    """An id inside a record's name, where colons and line ends mean something else; empty for null."""
+    return "" if page_id is None else "=" + quote(str(page_id), safe="")
+
+
 def page_record(page_id, url: str | None, payload: bytes, digest: str, record_type: str, refers: str | None, place: str) -> Record:
-    own = "" if page_id is None else str(page_id)
+    own = _quoted(page_id)
     record_id = f"<urn:page:{own}:{digest}>" if record_type == "response" else f"<urn:revisit:{own}:{place}>"
     fields = {TYPE: record_type, RECORD_ID: record_id, TARGET: _uri(url), DIGEST: "sha1:" + digest}
     if record_type == "response":
         return Record(fields, HTTP_HEAD + chunked(payload))
-    return Record(fields | {REFERS: f"<urn:page:{'' if refers is None else refers}:{digest}>", PROFILE: SAME_PAYLOAD})
+    return Record(fields | {REFERS: f"<urn:page:{_quoted(refers)}:{digest}>", PROFILE: SAME_PAYLOAD})
 
 
 @lru_cache(maxsize=8)
@@ -235,7 +243,7 @@ class _Writer:
         if self._out is None:
             return
         self._out.close()
-        self._fs.move(self._hidden, self._path)
+        rename(self._fs, self._hidden, self._path)
         self.done.append({"path": self._name, "n_records": self._records, "n_bytes": self._size})
         self._out = None
 
@@ -313,7 +321,8 @@ def write(pages: DataFrame, key: str, url: str, html: str, root: str, segment_by
 
 def _page_of(record_id: str) -> str | None:
     """The page's id inside one of our record names."""
-    return record_id[1:-1].split(":")[2] or None
+    quoted = record_id[1:-1].split(":")[2]
+    return unquote(quoted[1:]) if quoted else None
 
 
 _ARROW_READ = pa.schema(

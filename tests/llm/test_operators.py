@@ -1,5 +1,6 @@
 """Every operator against brute force, on hand-made rows with nulls, ties, repeats and odd columns."""
 
+import os
 import random
 
 import numpy as np
@@ -160,6 +161,28 @@ def test_shards_of_a_trained_dictionary_with_repeats_and_nulls(spark):
     assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(ordered, ordered[1:]))
 
 
+def test_a_folder_of_shards_stands_alone(spark):
+    table = frame(spark, [(i, prose(i, 120)) for i in range(300)])
+    manifest, root, form = shards(spark, table)
+    wanted = sorted(token_shards.read(manifest, root, form).collect())
+    other = spark.newSession()
+    there, known = token_shards.open_folder(other, root)
+    assert known == form and form.dictionary and sorted(token_shards.read(there, root, known).collect()) == wanted
+    # Written again over what lies there, as a second attempt would.
+    token_shards.write(table, "doc_id", "text", root, form)
+    assert sorted(token_shards.read(*_opened(other, root)).collect()) == wanted
+    (name,) = [f for f in os.listdir(root.removeprefix("file:")) if f.startswith("dictionary-")]
+    with open(f"{root.removeprefix('file:')}/{name}", "wb") as out:
+        out.write(b"damaged")
+    with pytest.raises(ValueError, match="another dictionary"):
+        token_shards.open_folder(other, root)
+
+
+def _opened(session, root):
+    manifest, form = token_shards.open_folder(session, root)
+    return manifest, root, form
+
+
 MARKED = ["a <|endoftext|> b", "<|endoftext|>", "x\n<|endoftext|><|endoftext|> y  ", "<|endoftext| >", "<|endoftext|>é" * 300]
 
 
@@ -203,6 +226,29 @@ def test_pages_come_back_from_archives(spark, segment_bytes):
     assert got == brute.pages(html)
 
 
+def test_ids_of_any_letters(spark):
+    ids = ["a:b", "a", "", "=", "x\r\ny", "é %41", "<urn:page:x>", ":", None]
+    rows = [(i, "u", f"<p>{(i or 'none')[:1]}</p>" * 900) for i in ids]
+    root = token_shards.make_folder(spark, fresh_folder(spark, "warc"))
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    found = warc.read(warc.write(pages, "page_id", "url", "html", root), root, "string").collect()
+    assert {r["page_id"] for r in found} == set(ids) and len(found) == len(ids)
+    assert {r["page_id"]: r["refers_to"] for r in found if r["record_type"] == "revisit"} == {"a:b": "a", None: ""}
+
+
+def test_real_pages_are_segmented(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html")
+    root = token_shards.make_folder(spark, fresh_folder(spark, "warc"))
+    archives = warc.write(pages, "page_id", "url", "html", root)
+    parts = warc._read(archives, root)
+    assert parts.where("record_type = 'continuation'").count() > 50
+    assert warc.read(archives, root).count() == pages.count()
+    # Without one continuation record, its page is told.
+    lost = parts.where("not (segment > 1 and total is not null)").where("origin is not null")
+    with pytest.raises(Exception, match="are missing"):
+        warc._rejoined(lost).collect()
+
+
 def test_pages_that_repeat_and_pages_without_an_id(spark):
     rows = [(3, "u", "x", ""), (3, "u", "x", ""), (5, "u", "x", ""), (None, "u", "x", ""), (None, "u", "y", ""), (None, "u", "y", "")]
     found, _, _ = archived(spark, rows)
