@@ -1,16 +1,20 @@
-"""Near duplicates of embeddings by sign buckets, dense parts in bounded blocks.
+"""Near duplicates of embeddings by sorted projection passes, dense parts in bounded blocks.
 
-Each pass hashes a vector to the signs of its projections on random directions of its
-own. Vectors that share a prefix of the signs are one bucket, and a bucket is compared as
-a whole, so a pair at the threshold is missed only if no pass gives both the same prefix.
-The number of passes follows from the length of the prefix: it keeps that chance below
-``MISS``. Verified pairs are united across passes.
+Each pass hashes a vector to the signs of its projections on random directions of its own and
+orders the vectors lexicographically by the concatenated signs. A vector is compared with the
+neighbours that follow it, a window of ``WINDOW`` at most that reaches to the end of the vectors
+that begin with the same signs, and some further. A pair at the threshold is missed only if no
+pass gives both the same first signs; the number of passes follows from how many signs those
+are and keeps that chance below ``MISS``. Verified pairs are united across passes.
 
-The prefix is as long as spreads the vectors evenly over buckets of ``SPREAD``. Where the
-data is denser, buckets are not cut: a vector that any pass puts into a bucket of more than
+A pass moves vectors rounded to 16 bits a component, whose cosines are wrong by a known bound at most. A
+pair whose cosine is that close to the threshold is compared again in double precision.
+
+The first signs are as many as spread the vectors evenly over runs of ``SPREAD``. Where the
+data is denser, nothing is cut by the window: a vector that any pass puts into a run of more than
 ``CROWDED`` is compared with all other such vectors by further passes. Their prefix is the
 one that costs least by a sample of the dense vectors' own angles (none at all means that
-all of them are compared), and their buckets are compared in blocks of bounded size. A pair
+all of them are compared), and their runs are compared whole, in blocks of bounded size. A pair
 of which one vector was never crowded has met in the first passes.
 
 Every link lies inside a component. Links are counted there, all vectors of a component
@@ -39,10 +43,13 @@ from eventmart.llm.components import components
 from eventmart.llm.runtime import materialise, prepare, run_bounds, runs
 
 THRESHOLD = 0.95
-# Vectors a bucket of the first passes would hold if they were spread evenly, and from
-# where on it counts as dense.
+# Vectors a run of equal first signs would hold if they were spread evenly, and from where on it
+# counts as dense. A window takes in the whole of any other run, and so many neighbours at least.
 SPREAD = 256
-CROWDED = 1_024
+CROWDED = WINDOW = 1_024
+LEAST_WINDOW = 64
+# What a component is rounded to: 16 bits.
+STEPS = 32_767
 MISS = 1e-4
 KEY_BITS = 64
 PASSES_AT_ONCE = 6
@@ -126,7 +133,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _keyed(nodes: DataFrame, numbers: range, signs: int, units: bool = True) -> DataFrame:
-    """Every vector once a pass with its bucket: pass, length of the vector, first signs."""
+    """Every dense vector once a pass with its run: pass, length of the vector, first signs."""
     names = ["bucket", "node", "unit"] if units else ["bucket", "node"]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,16 +212,106 @@ def _above(keyed: DataFrame, bound: int) -> DataFrame:
     return materialise(sizes, "vector-buckets")
 
 
+def _ordered(nodes: DataFrame, numbers: range, signs: int) -> DataFrame:
+    """Every vector once a pass: its run (pass, length, first signs), all signs, and its rounded components."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.array([len(x) for x in batch.column("unit").to_pylist()])
+            for size in np.unique(sizes):
+                part = batch.take(pa.array(np.flatnonzero(sizes == size)))
+                matrix = _matrix(part.column("unit"))
+                rounded = [row.tobytes() for row in np.rint(matrix * STEPS).astype("<i2")]
+                for number in numbers:
+                    positive = matrix @ directions(number, matrix.shape[1]) > 0
+                    order = np.packbits(positive, axis=1)
+                    positive[:, signs:] = False
+                    head = number.to_bytes(4, "big") + int(size).to_bytes(4, "big")
+                    keys = [head + row.tobytes() for row in np.packbits(positive, axis=1)]
+                    columns = [keys, [row.tobytes() for row in order], part.column("node"), rounded]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["bucket", "signs", "node", "rounded"])
+
+    return nodes.select("node", "unit").mapInArrow(hashed, "bucket binary, signs binary, node binary, rounded binary")
+
+
+def rounding_error(dimensions: int) -> float:
+    """How far a cosine of rounded directions may lie from the true one."""
+    moved = 0.5 / STEPS * math.sqrt(dimensions)
+    return 2 * moved + moved**2 + 1e-5  # the last for single precision
+
+
+def _windows(buckets: list[bytes]) -> Iterator[tuple[int, int, int]]:
+    """Blocks of sorted rows and where their window ends: first row, end of the block, end of the window."""
+    bounds = run_bounds(np.array(buckets, dtype=object))
+    heads = [buckets[i][:8] for i in bounds[:-1]]
+    parts = run_bounds(np.array(heads, dtype=object))  # rows of one pass and length
+    for begin, end in zip(bounds[parts[:-1]], bounds[parts[1:]]):
+        for first in range(begin, end, SPREAD):
+            last = min(first + SPREAD, end)
+            run_end = bounds[np.searchsorted(bounds, last - 1, side="right")]
+            yield first, last, min(max(run_end, last + LEAST_WINDOW), last + WINDOW, end)
+
+
+def _windowed(rows: DataFrame, threshold: float) -> DataFrame:
+    """Links ``a``, ``b`` between neighbours in order; ``sure`` is false where rounding could matter."""
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in runs(batches, "bucket"):
+            nodes, rounded = table.column("node").to_pylist(), table.column("rounded").to_pylist()
+            sure, open_ = [], []
+            for first, last, end in _windows(table.column("bucket").to_pylist()):
+                if end - first < 2:
+                    continue
+                units = np.frombuffer(b"".join(rounded[first:end]), dtype="<i2").reshape(end - first, -1).astype(np.float32) / STEPS
+                error = rounding_error(units.shape[1])
+                cosines = units[: last - first] @ units.T
+                cosines[np.tril_indices(last - first)] = -1  # each pair once
+                near = np.zeros((end - first,) * 2, dtype=bool)
+                near[: last - first] = cosines >= threshold + error
+                near |= near.T
+                sure += star_links(nodes[first:end], near)
+                rows_, others = np.nonzero((cosines >= threshold - error) & (cosines < threshold + error))
+                open_ += [(nodes[first + i], nodes[first + j]) for i, j in zip(rows_, others)]
+            links = [*sure, *((min(a, b), max(a, b)) for a, b in open_)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([a for a, _ in links], pa.binary()),
+                    pa.array([b for _, b in links], pa.binary()),
+                    pa.array([True] * len(sure) + [False] * len(open_), pa.bool_()),
+                ],
+                names=["a", "b", "sure"],
+            )
+
+    # Equal runs stay in one partition, so none is cut.
+    dealt = rows.repartitionByRange("bucket").sortWithinPartitions("bucket", "signs")
+    return dealt.select("bucket", "node", "rounded").mapInArrow(compared, "a binary, b binary, sure boolean").distinct()
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Those pairs whose cosine reaches the threshold in double precision."""
+    units = nodes.select("node", "unit")
+    whole = pairs.join(units.withColumnsRenamed({"node": "a", "unit": "unit_a"}), "a")
+    whole = whole.join(units.withColumnsRenamed({"node": "b", "unit": "unit_b"}), "b")
+
+    def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs_ = zip(batch.column("unit_a").to_pylist(), batch.column("unit_b").to_pylist())
+            kept = [np.frombuffer(a, "<f8") @ np.frombuffer(b, "<f8") >= threshold for a, b in pairs_]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return whole.mapInArrow(checked, "a binary, b binary")
+
+
 def _spread_links(nodes: DataFrame, numbers: range, signs: int, threshold: float) -> tuple[DataFrame, DataFrame | None]:
-    """Links inside all buckets that are not crowded, and the nodes of those that are."""
-    marked = _keyed(nodes, numbers, signs, units=False)
-    crowded = _above(marked, CROWDED).select("bucket")
-    keyed = _keyed(nodes, numbers, signs)
+    """Links inside all runs that are not crowded, and the nodes of those that are."""
+    keyed = _ordered(nodes, numbers, signs)
+    crowded = _above(keyed, CROWDED).select("bucket")
     some = not crowded.isEmpty()
-    if some:
-        keyed = keyed.join(crowded, "bucket", "left_anti")
-    links = materialise(_linked(keyed.withColumn("cell", F.col("bucket")).withColumn("block", F.lit(0)), threshold), "vector-links")
-    return links, marked.join(crowded, "bucket", "left_semi").select("node") if some else None
+    met = materialise(_windowed(keyed.join(crowded, "bucket", "left_anti") if some else keyed, threshold), "vector-links")
+    links = met.where("sure").select("a", "b")
+    if not met.where("not sure").isEmpty():
+        links = links.unionByName(materialise(_verified(met.where("not sure").select("a", "b"), nodes, threshold), "vector-links"))
+    return links, keyed.join(crowded, "bucket", "left_semi").select("node") if some else None
 
 
 def _dense_links(nodes: DataFrame, numbers: range, signs: int, threshold: float) -> DataFrame:
