@@ -7,16 +7,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def is_shared(master: str, folder: str) -> bool:
+    """Whether all executors see a folder: on one machine any, on a cluster none of a machine's own."""
+    return master == "local" or master.startswith("local[") or not (folder.startswith("/") or folder.startswith("file:"))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Where that is unset, as in tests, a folder of this application below the warehouse,
-    which executors share as well; it is deleted when the application ends.
+    Where that is unset, as in tests, a folder of this application below the warehouse;
+    it is deleted when the application ends. On a cluster the warehouse must be shared for that.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not is_shared(spark.sparkContext.master, warehouse):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     root = f"{warehouse}/_scratch/{spark.sparkContext.applicationId}"
     place = spark._jvm.org.apache.hadoop.fs.Path(root)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
