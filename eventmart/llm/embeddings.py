@@ -132,8 +132,21 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype="<f8").reshape(len(column), -1)
 
 
+def _bytes_of(rows: np.ndarray) -> pa.Array:
+    """Each row's bytes."""
+    rows = np.ascontiguousarray(rows)
+    kind = pa.binary(rows.itemsize * rows.shape[1])
+    return pa.FixedSizeBinaryArray.from_buffers(kind, len(rows), [None, pa.py_buffer(rows)]).cast(pa.binary())
+
+
+def _run_keys(number: int, size: int, prefix: np.ndarray) -> pa.Array:
+    """The run of each vector: pass, length of the vector, first signs."""
+    head = np.frombuffer(number.to_bytes(4, "big") + size.to_bytes(4, "big"), dtype=np.uint8)
+    return _bytes_of(np.hstack([np.broadcast_to(head, (len(prefix), 8)), prefix]))
+
+
 def _keyed(nodes: DataFrame, numbers: range, signs: int, units: bool = True) -> DataFrame:
-    """Every dense vector once a pass with its run: pass, length of the vector, first signs."""
+    """Every vector once a pass with its run: pass, length of the vector, first signs."""
     names = ["bucket", "node", "unit"] if units else ["bucket", "node"]
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,9 +157,7 @@ def _keyed(nodes: DataFrame, numbers: range, signs: int, units: bool = True) ->
                 matrix = _matrix(part.column("unit"))
                 for number in numbers:
                     prefix = np.packbits(matrix @ directions(number, matrix.shape[1])[:, :signs] > 0, axis=1)
-                    head = number.to_bytes(4, "big") + int(size).to_bytes(4, "big")
-                    keys = [head + row.tobytes() for row in prefix]
-                    columns = [pa.array(keys, pa.binary()), part.column("node"), part.column("unit")]
+                    columns = [_run_keys(number, int(size), prefix), part.column("node"), part.column("unit")]
                     yield pa.RecordBatch.from_arrays(columns[: len(names)], names=names)
 
     schema = ", ".join(f"{name} binary" for name in names)
@@ -221,15 +232,12 @@ def _ordered(nodes: DataFrame, numbers: range, signs: int) -> DataFrame:
             for size in np.unique(sizes):
                 part = batch.take(pa.array(np.flatnonzero(sizes == size)))
                 matrix = _matrix(part.column("unit"))
-                rounded = [row.tobytes() for row in np.rint(matrix * STEPS).astype("<i2")]
+                rounded = _bytes_of(np.rint(matrix * STEPS).astype("<i2"))
                 for number in numbers:
                     positive = matrix @ directions(number, matrix.shape[1]) > 0
-                    order = np.packbits(positive, axis=1)
-                    positive[:, signs:] = False
-                    head = number.to_bytes(4, "big") + int(size).to_bytes(4, "big")
-                    keys = [head + row.tobytes() for row in np.packbits(positive, axis=1)]
-                    columns = [keys, [row.tobytes() for row in order], part.column("node"), rounded]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["bucket", "signs", "node", "rounded"])
+                    keys = _run_keys(number, int(size), np.packbits(positive[:, :signs], axis=1))
+                    columns = [keys, _bytes_of(np.packbits(positive, axis=1)), part.column("node"), rounded]
+                    yield pa.RecordBatch.from_arrays(columns, names=["bucket", "signs", "node", "rounded"])
 
     return nodes.select("node", "unit").mapInArrow(hashed, "bucket binary, signs binary, node binary, rounded binary")
 
@@ -304,14 +312,15 @@ def _verified(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame
 
 def _spread_links(nodes: DataFrame, numbers: range, signs: int, threshold: float) -> tuple[DataFrame, DataFrame | None]:
     """Links inside all runs that are not crowded, and the nodes of those that are."""
-    keyed = _ordered(nodes, numbers, signs)
-    crowded = _above(keyed, CROWDED).select("bucket")
+    marked = _keyed(nodes, numbers, signs, units=False)
+    crowded = _above(marked, CROWDED).select("bucket")
     some = not crowded.isEmpty()
+    keyed = _ordered(nodes, numbers, signs)
     met = materialise(_windowed(keyed.join(crowded, "bucket", "left_anti") if some else keyed, threshold), "vector-links")
     links = met.where("sure").select("a", "b")
     if not met.where("not sure").isEmpty():
         links = links.unionByName(materialise(_verified(met.where("not sure").select("a", "b"), nodes, threshold), "vector-links"))
-    return links, keyed.join(crowded, "bucket", "left_semi").select("node") if some else None
+    return links, marked.join(crowded, "bucket", "left_semi").select("node") if some else None
 
 
 def _dense_links(nodes: DataFrame, numbers: range, signs: int, threshold: float) -> DataFrame:
