@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 import struct
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from eventmart.llm.pretokens import TextEncoder
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -57,15 +62,22 @@ class DocumentEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self._plain = text_encoder(path).encode
+        self._plain = text_encoder(path).encode_all
         self._library = Tokenizer.from_file(path)
-        self._added = [token.content for token in self._library.get_added_tokens_decoder().values()]
+        added = [token.content for token in self._library.get_added_tokens_decoder().values()]
+        self._added = "|".join(map(re.escape, added)) if added else None
 
     def encode(self, text: str | None) -> bytes:
-        if text and any(content in text for content in self._added):
-            ids = self._library.encode(text, add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}I", *ids)
-        return self._plain(text)
+        return self.encode_all(pa.array([text], pa.large_string()))[0]
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        found = self._plain(texts)
+        if self._added:
+            marked = pc.fill_null(pc.match_substring_regex(texts, self._added), False)
+            for at in np.flatnonzero(marked.to_numpy(zero_copy_only=False)).tolist():
+                ids = self._library.encode(texts[at].as_py(), add_special_tokens=False).ids
+                found[at] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
 
 
 @lru_cache(maxsize=2)

@@ -55,8 +55,8 @@ def pieces(frame: DataFrame, key: str, text: str, capacity: int = CAPACITY, end_
         encoder = document_encoder(vocabulary_path())
         for batch in slices(batches):
             rows = []
-            for at, text in enumerate(batch.column(1).to_pylist()):
-                rows += [(at, *piece) for piece in cut(encoder.encode(text) + tail, capacity)]
+            for at, ids in enumerate(encoder.encode_all(batch.column(1))):
+                rows += [(at, *piece) for piece in cut(ids + tail, capacity)]
             columns = list(zip(*rows)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [

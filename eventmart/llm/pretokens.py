@@ -12,6 +12,8 @@ from __future__ import annotations
 import struct
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 import regex
 
 # The pattern of the vocabularies, with white space spelled as the Unicode property
@@ -23,6 +25,8 @@ PATTERN = (
 _split = regex.compile(PATTERN).findall
 _odd_space = regex.compile(r"\p{White_Space}").search
 
+_SPACE, _FEED = 32, 10
+
 # Longer pre-tokens are not remembered: they hardly ever come twice.
 LONGEST_KEPT = 64
 # One of these after letters is a pre-token of its own.
@@ -87,15 +91,42 @@ class TextEncoder:
         return b"".join(map(self._pretokens.__getitem__, _split(before + piece)))
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        heads, pieces, join = self._heads, self._pieces.__getitem__, b"".join
-        found = []
+        return self.encode_all(pa.array([text], pa.large_string()))[0]
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Ids of every text. Each distinct piece of all of them is looked up once."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        held = texts.buffers()[2]
+        raw = np.frombuffer(held, dtype=np.uint8)[offsets[0] : offsets[-1]] if held is not None else np.zeros(0, np.uint8)
+        if not len(raw):
+            return [b""] * len(texts)
+        offsets = offsets - offsets[0]
+        # A piece begins at a space, a line feed or a text, and holds it.
+        begins = (raw == _SPACE) | (raw == _FEED)
+        begins[offsets[:-1][offsets[:-1] < len(raw)]] = True
+        bounds = np.append(np.flatnonzero(begins), len(raw))
+        pieces = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(raw)).dictionary_encode()
+        ids = [self._found(piece) for piece in pieces.dictionary.to_pylist()]
+        first = np.searchsorted(bounds, offsets)
+        found = pa.array(ids, pa.large_binary()).take(pieces.indices)
+        places = np.frombuffer(found.buffers()[1], dtype=np.int64)[first].tolist()
+        data = found.buffers()[2]
+        data = memoryview(data) if data is not None else memoryview(b"")
+        whole = [bytes(data[a:b]) for a, b in zip(places, places[1:])]
+        if found.null_count:
+            odd = np.flatnonzero(found.is_null().to_numpy(zero_copy_only=False))
+            for at in np.unique(np.searchsorted(first, odd, side="right") - 1).tolist():
+                whole[at] = b"".join(map(self._pretokens.__getitem__, _split(texts[at].as_py())))
+        return whole
+
+    def _found(self, piece: str) -> bytes | None:
+        """Ids of a piece with the space or line feed it begins with; None where only the whole pattern can cut."""
         try:
-            for line in text.split("\n"):
-                head, *rest = line.split(" ")
-                found += (heads[head], join(map(pieces, rest)), self._feed)
+            if piece[0] == " ":
+                return self._pieces[piece[1:]]
+            if piece[0] == "\n":
+                return self._feed + self._heads[piece[1:]]
+            return self._heads[piece]
         except _OddSpacing:
-            return join(map(self._pretokens.__getitem__, _split(text)))
-        found.pop()
-        return join(found)
+            return None

@@ -20,6 +20,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
@@ -29,6 +30,8 @@ from eventmart.llm.pretokens import TextEncoder
 from eventmart.llm.runtime import prepare
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+# Texts whose pieces are looked up together.
+TEXTS_AT_ONCE = 256
 _BITS, _MASK = 6, 63
 
 
@@ -147,6 +150,11 @@ class Vocabulary:
         """Ids of a text as little-endian unsigned 32-bit numbers."""
         return self.text_encoder.encode(text)
 
+    def encode_all(self, texts: pd.Series) -> Iterator[bytes]:
+        """Ids of every text, some hundred texts at a time."""
+        for at in range(0, len(texts), TEXTS_AT_ONCE):
+            yield from self.text_encoder.encode_all(pa.array(texts[at : at + TEXTS_AT_ONCE], pa.large_string(), from_pandas=True))
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
@@ -169,7 +177,7 @@ ENCODED = StructType([StructField("n_tokens", LongType()), StructField("ids_sha2
 def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     words = vocabulary(vocabulary_path(RANKS))
     for texts in batches:
-        yield pd.Series([words.encode(x) for x in texts], dtype=object)
+        yield pd.Series(list(words.encode_all(texts)), dtype=object)
 
 
 @F.pandas_udf(BinaryType())
@@ -184,8 +192,7 @@ def _round_trip(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     words = vocabulary(vocabulary_path(RANKS))
     for texts in batches:
         rows = []
-        for text in texts:
-            ids = words.encode(text)
+        for ids in words.encode_all(texts):
             rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(words.decode(ids)).hexdigest()))
         yield pd.DataFrame(rows, columns=ENCODED.names)
 

@@ -192,7 +192,7 @@ def sample_format(frame: DataFrame, key: str, text: str) -> Format:
     def serialized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = document_encoder(vocabulary_path())
         for batch in slices(batches):
-            whole = [serialize(encoder.encode(x), width) for x in batch.column(0).to_pylist()]
+            whole = [serialize(ids, width) for ids in encoder.encode_all(batch.column(0))]
             found = [x[i : i + SAMPLE_BYTES] for x in whole for i in range(0, len(x), SAMPLE_BYTES)]
             yield pa.RecordBatch.from_pydict({"sample": pa.array(found, pa.binary())})
 
@@ -215,9 +215,9 @@ def write(frame: DataFrame, key: str, text: str, root: str, form: Format, end_id
             done.append((shard, part, f"shard-{shard:06d}-{part:04d}.tok", writer.close(), writer.n_tokens))
 
         for batch in slices(batches):
-            for key_, text_ in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for key_, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1))):
                 writer = writer or ShardWriter(root, f"shard-{shard:06d}-{part:04d}.tok", attempt, form)
-                writer.add(key_, encoder.encode(text_) + tail)
+                writer.add(key_, ids + tail)
                 if writer.size >= SHARD_BYTES:
                     close()
                     writer, part = None, part + 1
