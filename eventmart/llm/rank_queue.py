@@ -33,6 +33,7 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 # Texts whose pieces are looked up together.
 TEXTS_AT_ONCE = 256
 _BITS, _MASK = 6, 63
+_MARKS = [1 << i for i in range(_MASK + 1)]
 
 
 class RankQueue:
@@ -46,43 +47,53 @@ class RankQueue:
             self._levels.append([0] * size)
             if size == 1:
                 break
-        self._buckets: dict[int, list[int]] = {}
+        self._downwards = self._levels[::-1]
+        # The place where a bucket holds one, as most do, else a heap of them.
+        self._buckets: dict[int, int | list[int]] = {}
 
     def push(self, rank: int, place: int) -> None:
-        bucket = self._buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, place)
+        buckets = self._buckets
+        if rank in buckets:
+            held = buckets[rank]
+            if type(held) is list:
+                heappush(held, place)
+            else:
+                buckets[rank] = [held, place] if held < place else [place, held]
             return
-        self._buckets[rank] = [place]
+        buckets[rank] = place
         at = rank
         for level in self._levels:
             word = at >> _BITS
             before = level[word]
-            level[word] = before | 1 << (at & _MASK)
+            level[word] = before | _MARKS[at & _MASK]
             if before:
                 break
             at = word
 
     def pop(self) -> tuple[int, int] | None:
         """Rank and place, or None when nothing waits."""
-        if not self._buckets:
+        buckets = self._buckets
+        if not buckets:
             return None
         at = 0
-        for level in reversed(self._levels):
+        for level in self._downwards:
             word = level[at]
             at = at << _BITS | (word & -word).bit_length() - 1
-        bucket = self._buckets[at]
-        place = heappop(bucket)
-        if not bucket:
-            del self._buckets[at]
-            cleared = at
-            for level in self._levels:
-                word = cleared >> _BITS
-                level[word] &= ~(1 << (cleared & _MASK))
-                if level[word]:
-                    break
-                cleared = word
-        return at, place
+        held = buckets[at]
+        if type(held) is list:
+            place = heappop(held)
+            if len(held) == 1:
+                buckets[at] = held[0]
+            return at, place
+        del buckets[at]
+        cleared = at
+        for level in self._levels:
+            word = cleared >> _BITS
+            level[word] = left = level[word] ^ _MARKS[cleared & _MASK]
+            if left:
+                break
+            cleared = word
+        return at, held
 
 
 class Vocabulary:
@@ -106,16 +117,15 @@ class Vocabulary:
         n = len(data)
         if n < 2:
             return [ranks[data]] if n else []
-        queue = self._queue
+        push, pop, known = self._queue.push, self._queue.pop, ranks.get
         end = list(range(1, n + 1))  # where the part that begins here ends, which is where the next begins
         before = list(range(-1, n - 1))
-        waiting = [-1] * n  # rank of the pair that begins here, -1 if none merges
-        for i in range(n - 1):
-            rank = ranks.get(data[i : i + 2])
-            if rank is not None:
-                waiting[i] = rank
-                queue.push(rank, i)
-        while (lowest := queue.pop()) is not None:
+        waiting = [known(data[i : i + 2], -1) for i in range(n)]  # rank of the pair that begins here, -1 if none merges
+        waiting[-1] = -1
+        for i, rank in enumerate(waiting):
+            if rank >= 0:
+                push(rank, i)
+        while (lowest := pop()) is not None:
             rank, i = lowest
             if waiting[i] != rank:
                 continue  # stale
@@ -124,22 +134,16 @@ class Vocabulary:
             waiting[middle] = -1
             if stop < n:
                 before[stop] = i
-                pair = ranks.get(data[i : end[stop]])
-                if pair is None:
-                    waiting[i] = -1
-                else:
-                    waiting[i] = pair
-                    queue.push(pair, i)
+                waiting[i] = pair = known(data[i : end[stop]], -1)
+                if pair >= 0:
+                    push(pair, i)
             else:
                 waiting[i] = -1
             left = before[i]
             if left >= 0:
-                pair = ranks.get(data[left:stop])
-                if pair is None:
-                    waiting[left] = -1
-                else:
-                    waiting[left] = pair
-                    queue.push(pair, left)
+                waiting[left] = pair = known(data[left:stop], -1)
+                if pair >= 0:
+                    push(pair, left)
         ids, at = [], 0
         while at < n:
             ids.append(ranks[data[at : end[at]]])
