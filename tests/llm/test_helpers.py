@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -82,6 +83,17 @@ def test_forgetting_changes_nothing(library):
     assert ids_of(small.encode(text)) == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("start, size", [(0, 30), (3, 6), (5, 0), (11, 1)])
+def test_a_batch_encodes_as_its_texts_do(library, ranks, reference, start, size):
+    texts = [None, *ODD_TEXTS, "a b\nc", None]
+    batch = pa.array(texts, pa.string()).slice(start, size)
+    wanted = texts[start : start + size]
+    found = text_encoder(vocabulary_path()).encode_all(batch)
+    assert list(map(ids_of, found)) == [library.encode(x or "", add_special_tokens=False).ids for x in wanted]
+    found = rank_queue.Vocabulary(ranks).encode_all(pd.Series(wanted, dtype=object))
+    assert list(map(ids_of, found)) == [reference.encode_ordinary(x or "") for x in wanted]
+
+
 def test_rank_queue_gives_lowest_rank_then_leftmost_place():
     queue, chance = rank_queue.RankQueue(300_000), random.Random(5)
     waiting = [(chance.randrange(300_000) if i % 3 else 7, chance.randrange(1_000)) for i in range(2_000)]
