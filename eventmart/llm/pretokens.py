@@ -27,6 +27,8 @@ _odd_space = regex.compile(r"\p{White_Space}").search
 
 _SPACE, _FEED = 32, 10
 
+# Bytes of texts whose pieces are looked up together: in more of them, fewer pieces are new.
+BYTES_AT_ONCE = 8 << 20
 # Longer pre-tokens are not remembered: they hardly ever come twice.
 LONGEST_KEPT = 64
 # One of these after letters is a pre-token of its own.

@@ -95,6 +95,21 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
+def text_bounds(texts: pa.Array, most: int) -> list[int]:
+    """Where runs of texts begin, each of ``most`` bytes and one text at most, with the length at the end."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    block = (np.cumsum(sizes) - sizes) // most
+    return run_bounds(block).tolist()
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches with so many bytes of text, and one row at most."""
+    for batch in batches:
+        bounds = text_bounds(batch.column(column), most)
+        for start, stop in zip(bounds, bounds[1:]):
+            yield batch.slice(start, stop - start)
+
+
 def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Tables of whole runs of equal ``key`` from a partition sorted by it, runs unbroken.
 

@@ -38,7 +38,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmart.llm.byte_bpe import document_encoder, vocabulary_path, vocabulary_size
-from eventmart.llm.runtime import first_by_hash, one_a_key, prepare, slices
+from eventmart.llm.pretokens import BYTES_AT_ONCE
+from eventmart.llm.runtime import first_by_hash, one_a_key, prepare, text_slices
 
 END = 0
 MAGIC = b"TOKSHRD1"
@@ -191,7 +192,7 @@ def sample_format(frame: DataFrame, key: str, text: str) -> Format:
 
     def serialized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = document_encoder(vocabulary_path())
-        for batch in slices(batches):
+        for batch in text_slices(batches, 0, BYTES_AT_ONCE):
             whole = [serialize(ids, width) for ids in encoder.encode_all(batch.column(0))]
             found = [x[i : i + SAMPLE_BYTES] for x in whole for i in range(0, len(x), SAMPLE_BYTES)]
             yield pa.RecordBatch.from_pydict({"sample": pa.array(found, pa.binary())})
@@ -214,7 +215,7 @@ def write(frame: DataFrame, key: str, text: str, root: str, form: Format, end_id
         def close() -> None:
             done.append((shard, part, f"shard-{shard:06d}-{part:04d}.tok", writer.close(), writer.n_tokens))
 
-        for batch in slices(batches):
+        for batch in text_slices(batches, 1, BYTES_AT_ONCE):
             for key_, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1))):
                 writer = writer or ShardWriter(root, f"shard-{shard:06d}-{part:04d}.tok", attempt, form)
                 writer.add(key_, ids + tail)

@@ -16,7 +16,8 @@ from tokenizers import Tokenizer
 from eventmart.llm import packing, rank_queue, simhash, warc
 from eventmart.llm.byte_bpe import text_encoder, vocabulary_path
 from eventmart.llm.components import components
-from eventmart.llm.runtime import own_columns, run_bounds, runs
+from eventmart.llm.pretokens import BYTES_AT_ONCE
+from eventmart.llm.runtime import own_columns, run_bounds, runs, text_bounds, text_slices
 from tests.llm import brute
 
 ODD_TEXTS = [
@@ -94,6 +95,17 @@ def test_a_batch_encodes_as_its_texts_do(library, ranks, reference, start, size)
     assert list(map(ids_of, found)) == [reference.encode_ordinary(x or "") for x in wanted]
 
 
+def test_texts_are_cut_by_bytes():
+    texts = pa.array(["a" * 4, None, "é" * 3, "", "b" * 50, "c", "d"])
+    assert text_bounds(texts, 10) == [0, 4, 5, 7] and text_bounds(texts[:0], 10) == [0]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), texts], names=["key", "text"])
+    parts = list(text_slices(iter([batch, batch[:0]]), 1, 10))
+    assert pa.Table.from_batches(parts).to_batches()[0].schema == batch.schema
+    assert pa.Table.from_batches(parts).to_pylist() == batch.to_pylist()
+    # Short texts are not cut by their number.
+    assert text_bounds(pa.array(["few words"] * 2_000), BYTES_AT_ONCE) == [0, 2_000]
+
+
 def test_rank_queue_gives_lowest_rank_then_leftmost_place():
     queue, chance = rank_queue.RankQueue(300_000), random.Random(5)
     waiting = [(chance.randrange(300_000) if i % 3 else 7, chance.randrange(1_000)) for i in range(2_000)]
