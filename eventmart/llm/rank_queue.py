@@ -26,12 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from eventmart.llm.byte_bpe import vocabulary_path
-from eventmart.llm.pretokens import TextEncoder
-from eventmart.llm.runtime import prepare
+from eventmart.llm.pretokens import BYTES_AT_ONCE, TextEncoder
+from eventmart.llm.runtime import prepare, text_bounds
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-# Texts whose pieces are looked up together.
-TEXTS_AT_ONCE = 256
 _BITS, _MASK = 6, 63
 _MARKS = [1 << i for i in range(_MASK + 1)]
 
@@ -155,9 +153,11 @@ class Vocabulary:
         return self.text_encoder.encode(text)
 
     def encode_all(self, texts: pd.Series) -> Iterator[bytes]:
-        """Ids of every text, some hundred texts at a time."""
-        for at in range(0, len(texts), TEXTS_AT_ONCE):
-            yield from self.text_encoder.encode_all(pa.array(texts[at : at + TEXTS_AT_ONCE], pa.large_string(), from_pandas=True))
+        """Ids of every text, some megabytes of texts at a time."""
+        whole = pa.array(texts, pa.large_string(), from_pandas=True)
+        bounds = text_bounds(whole, BYTES_AT_ONCE)
+        for start, stop in zip(bounds, bounds[1:]):
+            yield from self.text_encoder.encode_all(whole.slice(start, stop - start))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
