@@ -110,10 +110,14 @@ def _crowded_links(probes: DataFrame, index: DataFrame, crowded: DataFrame) -> D
     sizes = (
         probes.join(crowded.select("bucket"), "bucket", "left_semi").groupBy("bucket").agg(F.count("*").alias("n_probes"))
     ).join(crowded, "bucket")
-    blocks = sizes.select(
-        "bucket",
-        F.ceil(F.col("n_probes") / BLOCK).cast("int").alias("rows"),
-        F.ceil(F.col("n_index") / BLOCK).cast("int").alias("columns"),
+    # Written, so that its size is known: estimated, both sides below seem the smaller ones and would be broadcast.
+    blocks = materialise(
+        sizes.select(
+            "bucket",
+            F.ceil(F.col("n_probes") / BLOCK).cast("int").alias("rows"),
+            F.ceil(F.col("n_index") / BLOCK).cast("int").alias("columns"),
+        ),
+        "blocks",
     )
 
     def dealt(side: DataFrame, fp: str, own: str, across: str, first: bool) -> DataFrame:
@@ -175,8 +179,10 @@ def near_links(fingerprints: DataFrame, column: str) -> DataFrame:
     if not crowded.isEmpty():
         further = _crowded_links(probes, index, crowded)
         index = index.join(crowded.select("bucket"), "bucket", "left_anti")
+    # Spark does not count what explode adds: it takes 70 rows a fingerprint for one and would broadcast them.
     links = (
-        probes.join(index, "bucket")
+        probes.hint("merge")
+        .join(index, "bucket")
         .where((F.col("a") < F.col("b")) & _chain_holds(F.col("a"), F.col("b"), F.col("bucket").bitwiseAND(F.lit(7)).cast("int")))
         .select("a", "b")
     )

@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from eventmart.llm import embeddings, language, packing, quality_rules, quality_trees, rank_queue, simhash, token_shards, toxicity, warc
+from eventmart.llm.runtime import materialise
 from eventmart.session import fresh_folder
 from tests.llm import brute
 
@@ -89,6 +90,25 @@ def test_near_links_in_crowded_buckets_too(spark, monkeypatch, crowded):
         assert {(min(p), max(p)) for p in pairs} == set(wanted)
 
 
+@pytest.mark.parametrize("crowded", [40, 1_024])
+def test_exploded_fingerprints_are_not_broadcast(spark, monkeypatch, crowded):
+    monkeypatch.setattr(simhash, "CROWDED", crowded)
+    chance = random.Random(5)
+    near = [chance.getrandbits(38) << 26 for _ in range(60)]  # alike in two segments: a crowded bucket above 40
+    fps = [(x,) for x in near + [chance.getrandbits(63) for _ in range(600)]]
+    table = materialise(frame(spark, [(x - (1 << 64) if x >> 63 else x,) for (x,) in fps], "fp long"), "fps")
+    plan = simhash.near_links(table, "fp")._jdf.queryExecution().executedPlan().toString().splitlines()
+    depths = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    sent = []
+    for at, line in enumerate(plan):
+        if "BroadcastExchange" in line:
+            below = next((i for i in range(at + 1, len(plan)) if depths[i] <= depths[at]), len(plan))
+            sent += plan[at + 1 : below]
+    assert any("explode" in line for line in plan)
+    # Sums over exploded rows are small; the rows themselves are not.
+    assert not any("explode" in line for line in sent)
+
+
 def test_deduplicate_keeps_one_row_a_group(spark):
     rows = [
         (5, prose(1, 60), "a"), (3, prose(1, 60), "b"), (3, prose(1, 60), "b"), (9, prose(4, 90), "c"),
