@@ -9,7 +9,7 @@ from eventmart.functions.clock import (
     wall_clock_in_utc,
     weekday_name,
 )
-from eventmart.functions.keys import pseudonym, surrogate_key
+from eventmart.functions.keys import packed_key, pseudonym, surrogate_key, unpacked_key
 from eventmart.functions.money import currency_to_cents, from_minor_units
 from eventmart.functions.text import (
     blank_to_null,
@@ -37,6 +37,7 @@ __all__ = [
     "known_zone_or_utc",
     "line_name",
     "natural_key",
+    "packed_key",
     "pair_label",
     "pseudonym",
     "slug",
@@ -44,6 +45,7 @@ __all__ = [
     "surrogate_key",
     "time_text",
     "to_local",
+    "unpacked_key",
     "wall_clock_in_utc",
     "weekday_name",
 ]

@@ -64,7 +64,7 @@ class Workspace:
     def star(self) -> Star:
         if self._star is None:
             raw = landing.read_lines(self.spark, self.landed)
-            self._star = Star(self.spark, raw, self.root)
+            self._star = Star(self.spark, raw, self.root, by_date=True)
         return self._star
 
     @property
@@ -72,7 +72,7 @@ class Workspace:
         """The folder of the landed raw lines."""
         if self._landed is None:
             self._landed = f"{self.root}/raw"
-            landing.full_refresh(mapping.raw_lines(self.spark, self.sf_dir), self._landed)
+            landing.full_refresh(mapping.raw_lines(self.spark, self.sf_dir), self._landed, dealt=True)
         return self._landed
 
     def use(self, star: Star) -> None:
