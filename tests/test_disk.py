@@ -4,9 +4,10 @@ import os
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventmart.functions import packed_key, unpacked_key
-from eventmart.plans import facts
+from eventmart.plans import checks, facts
 from eventmart.plans.star import Star
 from eventmart.sources import landing
 from workload import mapping
@@ -95,3 +96,27 @@ def test_pairs_of_any_keys_stand_in_the_order_of_their_text(spark):
 def test_pair_keys_move_packed(star):
     counted = facts.pair_counts(star.table("dim_date"), star.table("fact_sales_line"))
     assert dict(counted.dtypes) == {"event": "binary", "a_item": "binary", "b_item": "binary", "baskets": "bigint"}
+
+
+def test_bridge_is_checked_alike_in_one_turn_and_in_many(spark, star, monkeypatch):
+    pairs, bridge = star.table("fact_item_pairs"), star.table("bridge_item_pair")
+    odd = F.crc32("pair_member_key") % 5
+    broken = bridge.filter(odd != 0).withColumn("item_key", F.when(odd == 1, F.col("pair_member_key")).when(odd == 2, F.col("item_key")))
+    stray = broken.unionByName(bridge.filter(odd == 3).withColumn("item_pair_key", F.col("pair_member_key")))
+
+    def counted():
+        found = checks.bridge_matches_pairs(pairs, stray).collect()
+        alone = checks.bridge_resolves(pairs, stray).collect()
+        return {r.check_name: r.violations for r in found}, {r.check_name: r.violations for r in alone}
+
+    whole, alone = counted()
+    assert min(whole.values()) > 0 and alone.items() <= whole.items()
+    monkeypatch.setattr(checks, "TURN_BYTES", checks.known_size(stray) // 3)
+    assert counted() == (whole, alone)
+
+
+def test_checks_run_in_turn_leave_no_shuffle(spark, star):
+    before = shuffle_files(spark)
+    found = checks.in_turn([checks.unique(star.table("fact_item_pairs"), "fact_item_pairs", "item_pair_key")] * 2)
+    assert not left_over(spark, before)
+    assert [r.violations for r in found.collect()] == [0, 0]

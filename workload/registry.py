@@ -604,7 +604,7 @@ def named_revenue_by_category(ws: Workspace) -> DataFrame:
 
 def _both(sound: DataFrame, damaged: DataFrame) -> DataFrame:
     renamed = damaged.withColumn("check_name", F.concat("check_name", F.lit("_damaged")))
-    return sound.unionByName(renamed)
+    return checks.in_turn([sound, renamed])
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -619,7 +619,7 @@ def check_not_null(ws: Workspace) -> DataFrame:
 
 
 def check_unique(ws: Workspace) -> DataFrame:
-    sound = _union([checks.unique(ws.table(t), t, c) for t, cs in checks.UNIQUE.items() for c in cs])
+    sound = checks.in_turn([checks.unique(ws.table(t), t, c) for t, cs in checks.UNIQUE.items() for c in cs])
     uid = checks.unique(ws.table("fact_sales_line"), "fact_sales_line", "sale_line_uid")
     items = ws.table("dim_item")
     damaged = items.unionByName(items.filter(F.col("sku").isNull()))
@@ -628,7 +628,7 @@ def check_unique(ws: Workspace) -> DataFrame:
 
 def check_orphans(ws: Workspace) -> DataFrame:
     table = ws.table
-    sound = _union(
+    sound = checks.in_turn(
         [
             checks.references(table(name), name, column, table(parent), parent_column)
             for name, wanted in checks.REFERENCES.items()
