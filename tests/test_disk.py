@@ -120,3 +120,10 @@ def test_checks_run_in_turn_leave_no_shuffle(spark, star):
     found = checks.in_turn([checks.unique(star.table("fact_item_pairs"), "fact_item_pairs", "item_pair_key")] * 2)
     assert not left_over(spark, before)
     assert [r.violations for r in found.collect()] == [0, 0]
+
+
+def test_pairs_met_are_written_before_names_join_them(star):
+    from eventmart.plans import analysis
+
+    asked = plan(analysis.items_bought_together(star.table))
+    assert "fact_sales_line" not in asked and "pairs-met" in asked
