@@ -18,12 +18,11 @@ def export_table(table: DataFrame, path: str) -> None:
     """A folder of CSV files with a header; written by all tasks in parallel.
 
     Quotes are doubled, and blanks and line breaks stay, so any CSV reader gives the
-    text back. NULL and empty text both become an empty field. Rebalancing leaves no
-    files that hold a header alone.
+    text back. NULL and empty text both become an empty field. Rows are written where
+    they are read, so that none moves; empty tasks write no file.
     """
     (
         exportable(table)
-        .hint("rebalance")
         .write.mode("overwrite")
         .option("header", True)
         .option("nullValue", "")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from eventmart.functions import packed_key, unpacked_key
 from eventmart.plans import checks, facts
 from eventmart.plans.star import Star
-from eventmart.sources import landing
+from eventmart.sources import export, landing
+from eventmart.sources.schemas import LANDED_LINES
 from workload import mapping
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -127,3 +128,10 @@ def test_pairs_met_are_written_before_names_join_them(star):
 
     asked = plan(analysis.items_bought_together(star.table))
     assert "fact_sales_line" not in asked and "pairs-met" in asked
+
+
+def test_export_moves_no_row(spark, tmp_path):
+    table = spark.createDataFrame([], LANDED_LINES).unionByName(spark.createDataFrame([(None,) * len(LANDED_LINES)], LANDED_LINES))
+    before = shuffle_files(spark)
+    export.export_table(table, str(tmp_path / "csv"))
+    assert not shuffle_files(spark) - before
