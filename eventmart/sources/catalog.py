@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from eventmart.plans.star import PARTITIONED, STEPS, Star
+from eventmart.session import COMPRESSION
 from eventmart.sources import snapshots
 from eventmart.sources.schemas import LANDED_LINES
 
@@ -81,7 +82,8 @@ class Catalog:
     def register_star(self, star: Star) -> None:
         """Names the star's written tables; staged sales are written into their own layer."""
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name('stg_sales')}")
-        star.table("stg_sales").write.mode("overwrite").saveAsTable(self.name("stg_sales").replace("`", ""))
+        staged = star.table("stg_sales").write.mode("overwrite").option("compression", COMPRESSION)
+        staged.saveAsTable(self.name("stg_sales").replace("`", ""))
         for table in (name for step in STEPS for name in step if name not in LAYER_OF):
             written = star.table(table)
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in written.schema)

@@ -135,3 +135,16 @@ def test_export_moves_no_row(spark, tmp_path):
     before = shuffle_files(spark)
     export.export_table(table, str(tmp_path / "csv"))
     assert not shuffle_files(spark) - before
+
+
+def test_staged_sales_by_name_are_compressed(spark, star, tmp_path):
+    from eventmart.sources.catalog import Catalog
+
+    names = Catalog(spark, "disk", str(tmp_path / "catalog"))
+    names.create()
+    try:
+        names.register_star(star)
+        found = [f for _, _, files in os.walk(tmp_path / "catalog") for f in files if f.endswith(".parquet")]
+        assert found and all(".zstd." in name for name in found)
+    finally:
+        names.drop()
