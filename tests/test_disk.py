@@ -148,3 +148,10 @@ def test_staged_sales_by_name_are_compressed(spark, star, tmp_path):
         assert found and all(".zstd." in name for name in found)
     finally:
         names.drop()
+
+
+def test_lines_of_documents_move_as_rows(spark):
+    """The texts of a line are made behind the join of its order."""
+    moved = plan(mapping.order_pages(spark, SF_DIR)).split("Physical Plan")[1]
+    assert "collect_list(struct(l_linenumber" in moved
+    assert "total_tax_money" not in moved.split("Join", 1)[1]
